@@ -7,6 +7,37 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..tables import table
 from .containers import pack
 from .encode import decode, encode, token_counts
+from .repeated_lines import frequent_lines, frequent_sequences, host_of, mark_lines, remove_lines, sourced_lines
+
+#: A line is boilerplate of a site if so many of its contents have it.
+SUPPORT = 8
+
+
+def _site_lines(spark: SparkSession, folder: str) -> DataFrame:
+    urls = table(spark, folder, "url_cid_latest").select(F.col("last_content_cid").alias("content_cid"), host_of(F.col("url")).alias("site"))
+    return sourced_lines(table(spark, folder, "cid_content").select("content_cid", "text"), "content_cid", "text", urls, "site")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that recur in at least 8 contents of one site of the content."""
+    lines = _site_lines(spark, folder)
+    marked = mark_lines(lines, frequent_lines(lines, SUPPORT))
+    return marked.select(F.col("doc").alias("content_cid"), "line_no").distinct()
+
+
+def p2_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """How many frequent sequences of each length a site has."""
+    lines = _site_lines(spark, folder)
+    seqs = frequent_sequences(mark_lines(lines, frequent_lines(lines, SUPPORT)), SUPPORT)
+    return seqs.groupBy(F.col("src").alias("site"), F.size("seq").alias("length")).agg(F.count("*").alias("sequences"))
+
+
+def p2_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """Every content with its site's repeated lines taken out."""
+    lines = _site_lines(spark, folder)
+    marked = mark_lines(lines, frequent_lines(lines, SUPPORT))
+    docs = table(spark, folder, "cid_content").select("content_cid", "text")
+    return remove_lines(docs, "content_cid", "text", marked).select("content_cid", F.length("text").alias("chars_left"))
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,8 +58,21 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return pack(sizes, "doc_id", "n_tokens", table(spark, folder, "container_spec"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_containers": p9_containers}
+QUERIES = {"p2_found": p2_found, "p2_sequences": p2_sequences, "p2_cleaned": p2_cleaned, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_containers": p9_containers}
+
+_LINES = """
+    l as (select content_cid, i as line_no, p[i] as raw from
+      (select content_cid, p, unnest(range(1, len(p) + 1)) as i from
+        (select content_cid, string_split(text, chr(10)) as p from cid_content where text is not null))),
+    k as (select content_cid, line_no,
+      trim(regexp_replace(regexp_replace(lower(raw), '[0-9]', '', 'g'), '[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]+', ' ', 'g')) as line from l),
+    s as (select distinct last_content_cid as content_cid, regexp_replace(regexp_replace(regexp_replace(
+      regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), '(:[0-9]*)?$', ''), '^www\\.', '') as site
+      from url_cid_latest where last_content_cid is not null and url is not null),
+    j as (select * from k join s using (content_cid) where line <> '' and site <> ''),
+    f as (select site, line from j group by all having count(distinct content_cid) >= 8)"""
 
 SQL: dict[str, str] = {
+    "p2_found": f"with {_LINES} select distinct content_cid, line_no::int as line_no from j join f using (site, line)",
     "p8_roundtrip": "select doc_id from documents where false",
 }
