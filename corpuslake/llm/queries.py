@@ -4,15 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.components import connected_components
 from ..tables import table
 from .containers import pack
 from .encode import decode, encode, token_counts
+from .near_duplicates import expand, near_duplicates
+from .records import record_text
 from .repeated_lines import frequent_lines, frequent_sequences, host_of, mark_lines, remove_lines, sourced_lines
 
 #: A line is boilerplate of a site if so many of its contents have it.
 SUPPORT = 8
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """rec_table, rec_key, text of the contents and the source records."""
+    pages = table(spark, folder, "cid_content").select(F.lit("cid_content").alias("rec_table"), F.col("content_cid").alias("rec_key"), "text")
+    records = table(spark, folder, "source_record").select(
+        F.lit("source_record").alias("rec_table"), F.col("record_id").alias("rec_key"), record_text(F.col("raw")).alias("text")
+    )
+    return pages.unionByName(records)
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of rows with at least 0.6 of their three-word sequences in common."""
+    pairs, members = near_duplicates(texts(spark, folder), "rec_key", "text", "rec_table", k=3, threshold=0.6, least_words=50)
+    return expand(pairs, members).withColumnRenamed("grp", "rec_table")
+
+
+def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Each row in a group of near duplicates (five words, 0.8): the group's
+    least class and the number of other classes it is linked with."""
+    pairs, members = near_duplicates(texts(spark, folder), "rec_key", "text", "rec_table")
+    found = connected_components(pairs, "a", "b")
+    links = pairs.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("links"))
+    size = members.groupBy("cls").agg(F.count("*").alias("copies"))
+    out = members.join(size, "cls").join(links, "cls", "left").join(found.withColumnRenamed("node", "cls"), "cls", "left")
+    return out.where("copies > 1 or links > 0").select(
+        F.col("grp").alias("rec_table"), F.col("key").alias("rec_key"),
+        F.coalesce("component", "cls").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"),
+    )
+
+
 def _site_lines(spark: SparkSession, folder: str) -> DataFrame:
     urls = table(spark, folder, "url_cid_latest").select(F.col("last_content_cid").alias("content_cid"), host_of(F.col("url")).alias("site"))
     return sourced_lines(table(spark, folder, "cid_content").select("content_cid", "text"), "content_cid", "text", urls, "site")
@@ -58,7 +90,7 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return pack(sizes, "doc_id", "n_tokens", table(spark, folder, "container_spec"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_sequences": p2_sequences, "p2_cleaned": p2_cleaned, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_containers": p9_containers}
+QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_sequences": p2_sequences, "p2_cleaned": p2_cleaned, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_containers": p9_containers}
 
 _LINES = """
     l as (select content_cid, i as line_no, p[i] as raw from
