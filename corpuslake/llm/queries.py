@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.components import connected_components
+from ..session import write_shared
 from ..tables import table
+from .best_record import choose, group_rows, plain_address, plain_identifier, source_reliability
 from .containers import pack
 from .encode import decode, encode, token_counts
 from .near_duplicates import expand, near_duplicates
@@ -72,6 +74,50 @@ def p2_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return remove_lines(docs, "content_cid", "text", marked).select("content_cid", F.length("text").alias("chars_left"))
 
 
+_ROW = "identifier string, legislationIdentifier string, name string, title string, text string, full_text string, url string, sourceUrl string, source_url string, effective_date string, effectiveDate string, retrieved_at string"
+
+
+def _candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """candidate_row with its fields (null if blank), their alternatives
+    merged, and the kind of its file."""
+    j = F.from_json("row_json", _ROW)
+    first = lambda *names: F.coalesce(*[F.when(F.trim(F.regexp_replace(j[n], r"(?U)\s+", " ")) != "", j[n]) for n in names])
+    kind = F.regexp_replace(F.trim(F.lower("source_kind")), "[ _]+", "_")
+    trust = table(spark, folder, "source_trust").select(F.regexp_replace(F.trim(F.lower("source_kind")), "[ _]+", "_").alias("kind"), "trust_rank")
+    files = table(spark, folder, "source_record").select("source_file", kind.alias("kind")).where("kind is not null and source_file is not null")
+    files = files.distinct().join(F.broadcast(trust), "kind", "left").groupBy("source_file").agg(F.min_by("kind", F.struct(F.coalesce("trust_rank", F.lit(1 << 30)), "kind")).alias("source"))
+    rows = table(spark, folder, "candidate_row").select(
+        "candidate_id", F.upper(F.trim("state")).alias("state"), "source_file",
+        first("identifier", "legislationIdentifier").alias("identifier"), first("name", "title").alias("name"),
+        first("text", "full_text").alias("text"), first("url", "sourceUrl", "source_url").alias("url"),
+        first("effective_date", "effectiveDate").alias("effective_date"), F.try_to_timestamp(j["retrieved_at"]).alias("retrieved_at"),
+    )
+    return rows.join(files, "source_file", "left")
+
+
+def _claims(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, int]]:
+    rows = _candidates(spark, folder)
+    groups = group_rows(rows, "candidate_id", F.when(F.col("state") != "", F.col("state")), [plain_identifier(F.col("identifier")), plain_address(F.col("url"))])
+    fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("name", "text", "effective_date")]))
+    claims = rows.join(groups, "candidate_id").select(F.col("group_id").alias("grp"), "candidate_id", "source", "retrieved_at", fields.alias("c"))
+    rank = {r.kind: r.trust_rank for r in table(spark, folder, "source_trust").select(F.regexp_replace(F.trim(F.lower("source_kind")), "[ _]+", "_").alias("kind"), "trust_rank").limit(10_000).collect()}
+    return write_shared(claims.select("grp", "candidate_id", "source", "retrieved_at", "c.field", "c.value"), "claims"), rank
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The row that supplies each field of each group's record."""
+    claims, rank = _claims(spark, folder)
+    best = choose(claims, source_reliability(claims, rank), rank, "candidate_id", "retrieved_at", together=False)
+    return best.select(F.col("grp").alias("group_id"), F.col("field").alias("field_name"), "candidate_id")
+
+
+def p6_truth(spark: SparkSession, folder: str) -> DataFrame:
+    """The highest-supported value of each field when equal values vote together."""
+    claims, rank = _claims(spark, folder)
+    best = choose(claims, source_reliability(claims, rank), rank, "candidate_id", "retrieved_at", together=True)
+    return best.select(F.col("grp").alias("group_id"), F.col("field").alias("field_name"), "candidate_id", F.round("support", 6).alias("support"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, ids of every document by byte_bpe_50k."""
     return encode(table(spark, folder, "documents").select("doc_id", "text"), "text")
@@ -90,7 +136,7 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return pack(sizes, "doc_id", "n_tokens", table(spark, folder, "container_spec"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_sequences": p2_sequences, "p2_cleaned": p2_cleaned, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_containers": p9_containers}
+QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_sequences": p2_sequences, "p2_cleaned": p2_cleaned, "p6_found": p6_found, "p6_truth": p6_truth, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_containers": p9_containers}
 
 _LINES = """
     l as (select content_cid, i as line_no, p[i] as raw from
@@ -104,7 +150,33 @@ _LINES = """
     j as (select * from k join s using (content_cid) where line <> '' and site <> ''),
     f as (select site, line from j group by all having count(distinct content_cid) >= 8)"""
 
+_BEST = """
+    with recursive r as (select candidate_id, upper(trim(state)) as state, source_file, row_json as j, F(identifier,legislationIdentifier) as identifier,
+      F(name,title) as name, F(text,full_text) as text, F(url,sourceUrl,source_url) as url, F(effective_date,effectiveDate) as effective_date,
+      try_cast(row_json->>'retrieved_at' as timestamp) as got_at from candidate_row),
+    k as (select candidate_id, 'i|' || state || '|' || lower(regexp_replace(identifier, '[^\\p{L}\\p{N}]+', '', 'g')) as key from r where identifier is not null
+      union all select candidate_id, 'u|' || state || '|' || regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '#.*$', ''),
+        '^[a-z][a-z0-9+.-]*://', ''), '^www\\.', ''), '/$', '') from r where url is not null),
+    m as (select key, min(candidate_id) as low from k where state_ok group by key),
+    e as (select distinct k.candidate_id as u, m.low as v from k join m using (key)),
+    b as (select u, v from e union select v, u from e),
+    w as (select candidate_id as id, candidate_id as n from r union select w.id, b.v from w join b on w.n = b.u),
+    g as (select id as candidate_id, min(n) as group_id from w group by id),
+    s as (select source_file, min(trust_rank) as rank from (select source_file, regexp_replace(trim(lower(source_kind)), '[ _]+', '_', 'g') as kind from source_record) q
+      join source_trust t on t.source_kind = q.kind group by 1),
+    c as (select group_id, r.*, rank from r join g using (candidate_id) left join s using (source_file)
+      where group_id in (select group_id from g group by 1 having count(*) > 1)),
+    f as (select group_id, candidate_id, rank, got_at, 'name' as field_name, name as value from c union all select group_id, candidate_id, rank, got_at, 'text', text from c
+      union all select group_id, candidate_id, rank, got_at, 'effective_date', effective_date from c)
+    select group_id, field_name, candidate_id from f where value is not null
+    qualify row_number() over (partition by group_id, field_name order by rank nulls last, got_at desc nulls last, candidate_id) = 1"""
+_BEST = _BEST.replace("where state_ok ", "")
+for _names in ("identifier,legislationIdentifier", "name,title", "text,full_text", "url,sourceUrl,source_url", "effective_date,effectiveDate"):
+    _parts = ", ".join(f"case when trim(regexp_replace(row_json->>'{n}', '\\s+', ' ', 'g')) <> '' then row_json->>'{n}' end" for n in _names.split(","))
+    _BEST = _BEST.replace(f"F({_names})", f"coalesce({_parts})")
+
 SQL: dict[str, str] = {
+    "p6_found": _BEST,
     "p2_found": f"with {_LINES} select distinct content_cid, line_no::int as line_no from j join f using (site, line)",
     "p8_roundtrip": "select doc_id from documents where false",
 }
