@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.components import connected_components
 from ..session import write_shared
 from ..tables import table
+from . import abusive
 from .best_record import choose, group_rows, plain_address, plain_identifier, source_reliability
 from .containers import pack
 from .encode import decode, encode, token_counts
@@ -136,7 +137,24 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return pack(sizes, "doc_id", "n_tokens", table(spark, folder, "container_spec"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_sequences": p2_sequences, "p2_cleaned": p2_cleaned, "p6_found": p6_found, "p6_truth": p6_truth, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_containers": p9_containers}
+def _abuse(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = abusive.fit(docs, table(spark, folder, "doc_labels"), "doc_id", "text", "abusive")
+    return abusive.score(docs.select(*columns, "text"), "text", model)
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that insult, threaten, degrade or are sexually explicit."""
+    return _abuse(spark, folder, "doc_id").where(F.col("score") >= abusive.THRESHOLD).select("doc_id")
+
+
+def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, flagged documents and their rate for each source."""
+    hit = F.count_if(F.col("score") >= abusive.THRESHOLD)
+    return _abuse(spark, folder, "source").groupBy("source").agg(F.count("*").alias("documents"), hit.alias("flagged"), F.round(hit / F.count("*"), 6).alias("rate"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_sequences": p2_sequences, "p2_cleaned": p2_cleaned, "p6_found": p6_found, "p6_truth": p6_truth, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_containers": p9_containers, "p10_found": p10_found, "p10_rates": p10_rates}
 
 _LINES = """
     l as (select content_cid, i as line_no, p[i] as raw from
