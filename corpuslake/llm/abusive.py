@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 MOST_LABELLED, MOST_UNLABELLED = 20_000, 4_000
 #: Hashed feature space, expected share of abusive sentences among the
 #: unlabelled, and the score from which a document counts.
-BITS, PRIOR, THRESHOLD = 18, 0.01, 0.5
+BITS, PRIOR, THRESHOLD = 20, 0.01, 0.5
 _SIZE = 1 << BITS
 #: Fixed, so that a sentence of unknown words is clean.
 BIAS = -1.0
@@ -190,7 +190,7 @@ def train(positives: list[str], negatives: list[str], unlabelled: list[str], rou
         if r == rounds:
             break
         # Beyond nearly all unlabelled sentences, or found already.
-        positive = confirmed | (inside & ((g > np.quantile(g[other], 0.985)) | (g > 0)))
+        positive = confirmed | (inside & ((g > np.quantile(g[other], 0.99)) | (g > 0)))
     # Words whose sentences the model finds abusive nearly always.
     found = np.bincount(ids, (g > 0)[at].astype(float), _SIZE) / np.maximum(np.bincount(ids, minlength=_SIZE), 1)
     one, strong = Vocabulary(), set()
@@ -237,7 +237,7 @@ def score(docs: DataFrame, text: str, model, out: str = "score") -> DataFrame:
     """docs with, in place of text, the score (0..1) of its worst sentence.
 
     Null, empty and blank texts score 0. Whole texts are read, in Arrow
-    batches, without a shuffle. The model (2 MB) is broadcast once; its size
+    batches, without a shuffle. The model (8 MB) is broadcast once; its size
     doesn't depend on the data.
     """
     from pyspark.sql import types as T
