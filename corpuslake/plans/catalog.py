@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import general
+from . import general, index
 
-_PARTS = [general]
+_PARTS = [general, index]
 QUERIES = {k: f for m in _PARTS for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _PARTS for k, s in m.SQL.items()}
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return QUERIES["p7_found"](spark, folder)
+    return QUERIES["pointer_lookup"](spark, folder)
