@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import general, index, store
+from . import corpus, general, index, store
 
-_PARTS = [general, index, store]
+_PARTS = [general, index, store, corpus]
 QUERIES = {k: f for m in _PARTS for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _PARTS for k, s in m.SQL.items()}
 
