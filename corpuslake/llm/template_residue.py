@@ -18,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .page_lines import weak_labels
+from .sample import in_share, share_of
 
-#: Records of the training sample: trusted, unlabelled. Hashed word space.
-MOST_TRUSTED, MOST_UNLABELLED, BITS = 4_000, 4_000, 17
+#: Pages of the training sample, about: those looked at for a trusted sign,
+#: and those of them taken as unlabelled. Hashed word space.
+MOST_PAGES, MOST_UNLABELLED, BITS = 20_000, 4_000, 17
 #: Prior chance that a passage of a trusted, of another record is positive.
 TRUSTED_PRIOR, OTHER_PRIOR = 0.9, 0.02
 #: A record with no more characters than this (furniture aside) may be
@@ -134,23 +136,24 @@ def decide(records: list[list[str]], odds: np.ndarray, ids: _Ids) -> np.ndarray:
 
 
 def fit(pages: DataFrame, key: str, text: str, failed: DataFrame) -> np.ndarray:
-    """Train on bounded samples: at most MOST_TRUSTED brief records that the
-    statuses call failed or that carry a trusted wording, and at most
-    MOST_UNLABELLED others, both by the least hashes of their keys.
+    """Train on a bounded sample, by the hash of the key: of about MOST_PAGES
+    pages those that the statuses call failed or that carry a trusted sign,
+    and about MOST_UNLABELLED others. Only these texts reach the driver.
 
     failed: the keys that some status calls failed (repeats don't matter).
     """
     bad = failed.where(F.col(key).isNotNull()).select(key).distinct().withColumn("__bad", F.lit(True))
-    rows = pages.where(F.length(text) > 0).select(key, text).withColumn("__h", F.xxhash64(key))
+    share = share_of(pages, key, MOST_PAGES)
+    rows = pages.where(F.col(key).isNotNull() & in_share(F.col(key), share)).where(F.length(text) > 0).select(key, text)
     hint = F.col(text).rlike(r"\{\{|\{%|<%|[$#]\{|%%\w|@@\w|\[\[|__[A-Za-z]|(?i)lorem ipsum|placeholder|javascript|scripts|browser|type your text|sample text|default page")
     brief = F.length(text) < 3 * BRIEF
-    likely = rows.join(bad, key, "left").where(hint | (F.col("__bad") & brief))
-    some = likely.orderBy("__h").limit(2 * MOST_TRUSTED).select(text, F.coalesce("__bad", F.lit(False))).collect()
-    plain = rows.orderBy("__h").limit(MOST_UNLABELLED).select(text).collect()
+    some = rows.join(bad.where(in_share(F.col(key), share)), key, "left").where(hint | (F.col("__bad") & brief))
+    some = some.select(text, F.coalesce("__bad", F.lit(False))).collect()
+    plain = rows.where(in_share(F.col(key), share * MOST_UNLABELLED / MOST_PAGES if share < 1 else share_of(pages, key, MOST_UNLABELLED))).select(text).collect()
     sure, other = [], []
     for t, b in some:
         parts = passages(t)
-        (sure if trusted(parts, b) and len(sure) < MOST_TRUSTED else other).append(parts)
+        (sure if trusted(parts, b) else other).append(parts)
     other += [parts for (t,) in plain if (parts := passages(t)) and not trusted(parts, False)]
     return train(sure, other)
 
