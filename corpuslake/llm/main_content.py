@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .page_lines import _BULLET, _LISTED, _NUMBERED, KINDS, LONG, is_menu, is_title, kind_of, weak_labels
+from .sample import in_share, share_of
 
 #: States: main content, furniture, box of links. Training pages at most.
 STATES, MOST_PAGES = 3, 1_500
@@ -158,9 +159,10 @@ def viterbi(pages: list[list[list[int]]], weights: np.ndarray, moves: np.ndarray
 
 
 def fit(texts: DataFrame, key: str, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Train on at most MOST_PAGES pages, those with the least hashes of their
-    key, labelled by the trusted wordings; the same pages on every run."""
-    rows = texts.where(F.length(text) > 0).select(F.xxhash64(key).alias("h"), text).orderBy("h").limit(MOST_PAGES).collect()
+    """Train on about MOST_PAGES pages, chosen by the hash of their key and
+    labelled by the trusted wordings; the same pages on every run."""
+    some = texts.where(in_share(F.col(key), share_of(texts, key, MOST_PAGES)))
+    rows = sorted(some.where(F.length(text) > 0).select(key, text).collect())
     pages = [r[1].split("\n") for r in rows]
     return train(pages, [weak_labels(p) for p in pages]) if pages else (np.zeros((FEATURES, STATES)), np.zeros((STATES, STATES)))
 
