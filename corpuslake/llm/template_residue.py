@@ -108,7 +108,7 @@ def train(sure: list[list[str]], other: list[list[str]], rounds: int = 12) -> np
     base = np.where(first, np.log(TRUSTED_PRIOR / (1 - TRUSTED_PRIOR)), np.log(OTHER_PRIOR / (1 - OTHER_PRIOR)))
     post = np.where(first, TRUSTED_PRIOR, np.where(genuine, 0.0, OTHER_PRIOR))
     odds = np.zeros(_SIZE)
-    for _ in range(rounds):
+    for _ in range(rounds if count else 0):
         pos, neg = post, 1 - post
         one, zero = np.bincount(flat, pos[at], _SIZE), np.bincount(flat, neg[at], _SIZE)
         odds = np.log((one + 0.05) / (pos.sum() + 1)) - np.log((zero + 0.05) / (neg.sum() + 1))
