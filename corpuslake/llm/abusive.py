@@ -18,8 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .sample import in_share, share_of
+
 #: Bounds of the training sample: labelled documents, unlabelled documents.
-MOST_LABELLED, MOST_UNLABELLED = 20_000, 4_000
+MOST_LABELLED, MOST_UNLABELLED = 8_000, 4_000
 #: Hashed feature space, expected share of abusive sentences among the
 #: unlabelled, and the score from which a document counts.
 BITS, PRIOR, THRESHOLD = 20, 0.01, 0.5
@@ -209,14 +211,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) ->
     labels of a document the greatest counts."""
     have = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
     marks = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).alias("__l"))
-    n = have.count()
-    by_hash = F.xxhash64(key)
-    # Both sides of the labelled join are cut by the same hash first.
-    chosen = marks.orderBy(by_hash).limit(MOST_LABELLED)
-    known = have.join(chosen, key).select("__l", text).collect()
-    share = min(1.0, 1.5 * MOST_UNLABELLED / max(n, 1))
-    free = have.where(F.pmod(by_hash, F.lit(1_000_003)) < F.lit(int(share * 1_000_003) + 1)).join(marks, key, "left_anti")
-    free = [r[0] for r in free.select(text).limit(MOST_UNLABELLED).collect()]
+    chosen = marks.where(in_share(F.col(key), share_of(marks, key, MOST_LABELLED)))
+    known = sorted(have.join(chosen, key).select(key, "__l", text).collect())
+    free = have.where(in_share(F.col(key), share_of(docs, key, MOST_UNLABELLED))).join(marks, key, "left_anti")
+    free = [r[1] for r in sorted(free.select(key, text).collect())]
+    known = [r[1:] for r in known]
     return train([r[1] for r in known if r[0] > 0], [r[1] for r in known if r[0] <= 0], free)
 
 
