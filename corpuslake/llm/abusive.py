@@ -18,13 +18,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .sample import in_share, share_of
+from .sample import in_share, share_of, slices
 
 #: Bounds of the training sample: labelled documents, unlabelled documents.
 MOST_LABELLED, MOST_UNLABELLED = 8_000, 4_000
 #: Hashed feature space, expected share of abusive sentences among the
-#: unlabelled, and the score from which a document counts.
+#: unlabelled where no labels tell, and the score from which a document counts.
 BITS, PRIOR, THRESHOLD = 20, 0.01, 0.5
+#: Abusive sentences that an abusive document has, about.
+EACH = 1.5
+#: Sentences of fewer features count as if they had so many: a word or two
+#: must be strong to decide.
+SHORT = 8
 _SIZE = 1 << BITS
 #: Fixed, so that a sentence of unknown words is clean.
 BIAS = -1.0
@@ -74,7 +79,7 @@ def plain_word(word: str) -> str:
     if not letters:
         return "#" if core else ""
     if letters < len(core):
-        joined = "".join(c for c in core.translate(_LEET) if c.isalpha()) if letters * 2 >= len(core) > 2 else ""
+        joined = "".join(c for c in core.translate(_LEET) if c.isalpha()) if letters >= 2 and letters * 3 >= len(core) else ""
         core = joined or core
     return re.sub(r"(.)\1{2,}", r"\1", core)
 
@@ -138,7 +143,7 @@ def features(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarra
 
 def _scores(ids: np.ndarray, at: np.ndarray, count: int, weights: np.ndarray, bias: float) -> np.ndarray:
     n = np.bincount(at, minlength=count)
-    return np.bincount(at, weights[ids], count) / np.sqrt(np.maximum(n, 1)) + bias
+    return np.bincount(at, weights[ids], count) / np.sqrt(np.maximum(n, SHORT)) + bias
 
 
 def train_nnpu(ids, at, positive, unlabelled, prior: float = PRIOR, epochs: int = 90, rate: float = 0.3, decay: float = 2e-6) -> tuple[np.ndarray, float]:
@@ -151,7 +156,7 @@ def train_nnpu(ids, at, positive, unlabelled, prior: float = PRIOR, epochs: int
     count = len(positive)
     weights, bias = np.zeros(_SIZE), BIAS
     m1, m2 = np.zeros(_SIZE), np.zeros(_SIZE)
-    scale = 1 / np.sqrt(np.maximum(np.bincount(at, minlength=count), 1))
+    scale = 1 / np.sqrt(np.maximum(np.bincount(at, minlength=count), SHORT))
     np_, nu = max(positive.sum(), 1), max(unlabelled.sum(), 1)
     for step in range(1, epochs + 1):
         g = _scores(ids, at, count, weights, bias)
@@ -184,15 +189,19 @@ def train(positives: list[str], negatives: list[str], unlabelled: list[str], rou
     confirmed = doc < len(CONFIRMED)
     inside = (doc >= len(CONFIRMED)) & (doc < len(CONFIRMED) + len(positives))
     other = ~confirmed & ~inside
+    prior = PRIOR
+    if positives and negatives:
+        share = len(positives) / (len(positives) + len(negatives))
+        prior = float(np.clip(share * EACH * len(texts) / max(len(doc), 1), 0.002, 0.1))
     weights, bias = np.zeros(_SIZE), 0.0
     positive = confirmed | inside
     for r in range(rounds + 1):
-        weights, bias = train_nnpu(ids, at, positive, other)
+        weights, bias = train_nnpu(ids, at, positive, other, prior)
         g = _scores(ids, at, len(doc), weights, bias)
         if r == rounds:
             break
         # Beyond nearly all unlabelled sentences, or found already.
-        positive = confirmed | (inside & ((g > np.quantile(g[other], 0.99)) | (g > 0)))
+        positive = confirmed | (inside & ((g > (np.quantile(g[other], 1 - 1.5 * prior) if other.any() else 0.0)) | (g > 0)))
     # Words whose sentences the model finds abusive nearly always.
     found = np.bincount(ids, (g > 0)[at].astype(float), _SIZE) / np.maximum(np.bincount(ids, minlength=_SIZE), 1)
     one, strong = Vocabulary(), set()
@@ -205,7 +214,7 @@ def train(positives: list[str], negatives: list[str], unlabelled: list[str], rou
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[np.ndarray, float, frozenset[str]]:
-    """Train on a bounded sample: at most MOST_LABELLED labelled documents and
+    """Train on a bounded sample: about MOST_LABELLED labelled documents and
     MOST_UNLABELLED others, taken by a hash of the key (so the sample is the
     same on every run). Null labels, keys and texts are left out; of several
     labels of a document the greatest counts."""
@@ -222,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) ->
 def _score(batches, text: str, out: str, model):
     weights, bias, strong = model.value
     vocabulary = Vocabulary(strong)
-    for b in batches:
+    for b in slices(batches):
         texts = b.column(b.schema.get_field_index(text)).to_pylist()
         ids, at, doc = features(texts, vocabulary)
         g = _scores(ids, at, len(doc), weights, bias)
