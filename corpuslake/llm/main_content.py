@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .page_lines import _BULLET, _LISTED, _NUMBERED, KINDS, LONG, is_menu, is_title, kind_of, weak_labels
-from .sample import in_share, share_of
+from .sample import in_share, share_of, slices
 
 #: States: main content, furniture, box of links. Training pages at most.
 STATES, MOST_PAGES = 3, 1_500
@@ -29,7 +29,7 @@ FEATURES = 3 * _BASE + 5
 _LOWER = re.compile(r"[a-z]{2}")
 
 
-@lru_cache(100_000)
+@lru_cache(20_000)
 def _short_features(line: str) -> tuple[int, ...]:
     out = []
     kind = kind_of(line)
@@ -169,7 +169,7 @@ def fit(texts: DataFrame, key: str, text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _mark(batches, text: str, parts: list[str], model):
     weights, moves = model.value
-    for b in batches:
+    for b in slices(batches):
         texts = b.column(b.schema.get_field_index(text)).to_pylist()
         found = [page_features(t.split("\n")) if t else ([], []) for t in texts]
         states = viterbi([f for _, f in found], weights, moves)
