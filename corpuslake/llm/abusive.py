@@ -27,6 +27,8 @@ MOST_LABELLED, MOST_UNLABELLED = 8_000, 4_000
 BITS, PRIOR, THRESHOLD = 20, 0.01, 0.5
 #: Abusive sentences that an abusive document has, about.
 EACH = 1.5
+#: Labelled abusive documents from which their share is believed.
+ENOUGH = 30
 #: Sentences of fewer features count as if they had so many: a word or two
 #: must be strong to decide.
 SHORT = 8
@@ -190,7 +192,7 @@ def train(positives: list[str], negatives: list[str], unlabelled: list[str], rou
     inside = (doc >= len(CONFIRMED)) & (doc < len(CONFIRMED) + len(positives))
     other = ~confirmed & ~inside
     prior = PRIOR
-    if positives and negatives:
+    if len(positives) >= ENOUGH and negatives:
         share = len(positives) / (len(positives) + len(negatives))
         prior = float(np.clip(share * EACH * len(texts) / max(len(doc), 1), 0.002, 0.1))
     weights, bias = np.zeros(_SIZE), 0.0
