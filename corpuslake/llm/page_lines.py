@@ -3,20 +3,17 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 # Wordings by which sites mark what is not their main content,
 # one alternative for each kind.
 KINDS: dict[str, str] = {
     "top": r"menu|skip to (?:main )?content|toggle navigation|main navigation|jump to navigation",
     "crumb": r"home\s*(?:[>»/›]|::).+",
-    "cookie": (
-        r".*\b(?:site|website|page|portal|este sitio)\b.{0,30}\b(?:uses?|usa)\b.{0,20}\bcookies\b.*|we use cookies\b.*|cookies help\b.*|"
-        r"by using\b.*\bcookies\b.*|.*\bstores? small files on your device\b.*|tracking files are stored\b.*|"
-        r"your privacy:.*|(?:\[.?\]\s*)?we value your privacy.*|ce site utilise des cookies.*"
-    ),
+    "cookie": r"we use cookies\b.*|cookies help\b.*|by using\b.*\bcookies\b.*|tracking files are stored\b.*|your privacy:.*|(?:\[.?\]\s*)?we value your privacy.*",
     "byline": (
         r"(?:posted|written|published|reviewed|prepared for the web)\b.{0,20}\bby\b.{3,60}|reviewed \d{4}-\d\d-\d\d by.*|by [^.,]{3,40}, .{3,40} staff|"
-        r"[^.|]{3,40}\|[^.|]{3,40} office ?\|.{6,20}|[^.,]{3,40} reports from [^.]{3,30}|contact person:.*|(?:last )?updated\b.*\bby the\b.*|written by:.*"
+        r"contact person:.*|(?:last )?updated\b.*\bby the\b.*|written by:.*"
     ),
     "share": (
         r"share this page\b.*|like this story\?.*|tell a friend about\b.*|rate this answer\b.*|was this page helpful\b.*|print ?\| ?save as.*|"
@@ -24,15 +21,28 @@ KINDS: dict[str, str] = {
         r"download the .{2,40} app\b.*|\d+ comments? - log ?in.*|advertisement\b.*"
     ),
     "foot": (
-        r"(?:©|\(c\) ?\d{4}|copyright \d{4}).*|.*\blegal publishing \d{4} - .*|(?:back to )?top of page\b.*|powered by\b.*|website by\b.*|"
-        r".*\bdoes not discriminate in its programs\b.*|office hours\b.*|terms ?[-|·] ?privacy.*|p\.? ?o\.? box\b.*|.*\ball rights reserved\.?|"
-        r"this notice is given as the law requires\b.*|.*\bphone\b.{0,12}\d.*\bfax\b.*|(?:nothing|no \w+) on \S+ is legal advice\b.*|.*\bsummaries on \S+ are for convenience\b.*|"
+        r"(?:©|\(c\) ?\d{4}|copyright \d{4}).*|(?:back to )?top of page\b.*|powered by\b.*|website by\b.*|office hours\b.*|terms ?[-|·] ?privacy.*|"
+        r"p\.? ?o\.? box\b.*|this notice is given as the law requires\b.*|(?:nothing|no \w+) on \S+ is legal advice\b.*|"
         r"(?:the )?text shown here is not the official edition\b.*|last updated\b.*"
     ),
     "box": r"in this section|related (?:pages|links|documents)|more from .{2,40}|upcoming events|quick links|popular pages|you may also like|latest news",
     "also": r"see also:? .*|related: .*|read (?:next|more)\b ?[-:].*|(?:next|previous|up next): .*",
 }
+# The same for wordings that don't begin the line: kind, words that the line
+# must have for the pattern to be worth a try, pattern.
+WITHIN: list[tuple[str, str, str]] = [
+    ("cookie", "cookies", r".*\b(?:site|website|page|portal)\b.{0,30}\b(?:uses?|usa|utilise)\b.{0,20}\bcookies\b.*|este sitio\b.{0,30}\busa\b.{0,20}\bcookies\b.*"),
+    ("cookie", " small files on your device", r".*\bstores? small files on your device\b.*"),
+    ("byline", " office", r"[^.|]{3,40}\|[^.|]{3,40} office ?\|.{6,20}"),
+    ("byline", " reports from ", r"[^.,]{3,40} reports from [^.]{3,30}"),
+    ("foot", "legal publishing ", r".*\blegal publishing \d{4} - .*"),
+    ("foot", "does not discriminate", r".*\bdoes not discriminate in its programs\b.*"),
+    ("foot", "all rights reserved", r".*\ball rights reserved\.?"),
+    ("foot", "phone", r".*\bphone\b.{0,12}\d.*\bfax\b.*"),
+    ("foot", "are for convenience", r".*\bsummaries on \S+ are for convenience\b.*"),
+]
 _ALL = re.compile("|".join(f"(?P<{k}>(?:{v}))" for k, v in KINDS.items()), re.I)
+_WITHIN = [(kind, word, re.compile(rx)) for kind, word, rx in WITHIN]
 
 _BULLET = re.compile(r"^\s*(?:[-*+•»>·]|o(?= ))\s*")
 _SPACE = re.compile(r"\s+")
@@ -45,10 +55,20 @@ LONG = 170
 
 def kind_of(line: str) -> str:
     """The kind of furniture a line is by its wording, or ''."""
-    if len(line) > LONG:
-        return ""
-    m = _ALL.fullmatch(_SPACE.sub(" ", line).strip())
-    return m.lastgroup if m else ""
+    return "" if len(line) > LONG else _kind_of(line)
+
+
+@lru_cache(20_000)
+def _kind_of(line: str) -> str:
+    line = _SPACE.sub(" ", line).strip()
+    m = _ALL.fullmatch(line)
+    if m:
+        return m.lastgroup
+    low = line.lower()
+    for kind, word, pattern in _WITHIN:
+        if word in low and pattern.fullmatch(low):
+            return kind
+    return ""
 
 
 def is_menu(line: str) -> bool:

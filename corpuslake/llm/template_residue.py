@@ -38,21 +38,23 @@ WORDING = re.compile(
 )
 _LATIN = frozenset("lorem ipsum dolor amet consectetur adipiscing elit tempor incididunt labore aliqua veniam nostrud exercitation ullamco".split())
 
-_WORD = re.compile(r"<fields?\d?>|[^\W\d_]+|\d+")
-_CUT = re.compile(r"(?<=[.!?])\s+|(?<=[A-Za-z]): | \((?=[A-Z])")
+_EDGES = ".,;:!?()[]{}\"'“”‘’«»*•-_/|#>"
+_CUT = re.compile(r"[.!?:]\s+|\((?=[A-Z])")
 _SIZE = 1 << BITS
 
 
 class _Ids(dict):
-    """word -> place in the hashed space."""
+    """token as written -> place in the hashed space of its word (without
+    punctuation around it, case aside; a number is '#'), -1 for no word."""
 
     def __missing__(self, word: str) -> int:
         import xxhash
 
         if len(self) > 400_000:
             self.clear()
-        key = "#" if word[0].isdigit() else word.lower()
-        value = self[word] = xxhash.xxh32_intdigest(key, 5) & (_SIZE - 1)
+        key = word if word.startswith("<field") else word.strip(_EDGES).lower()
+        key = "#" if key[:1].isdigit() or key[:1] in "§$" and key else key
+        value = self[word] = xxhash.xxh32_intdigest(key, 5) & (_SIZE - 1) if key else -1
         return value
 
 
@@ -86,7 +88,8 @@ def _features(records: list[list[str]], ids: _Ids):
     words, owner, size = [], [], []
     for i, parts in enumerate(records):
         for p in parts:
-            w = set(map(ids.__getitem__, _WORD.findall(p)))
+            w = set(map(ids.__getitem__, p.split()))
+            w.discard(-1)
             if w:
                 words.append(w)
                 owner.append(i)
