@@ -13,7 +13,7 @@ from .containers import pack
 from .encode import decode, encode, token_counts
 from .near_duplicates import expand, near_duplicates
 from .records import record_text
-from .repeated_lines import frequent_lines, frequent_sequences, host_of, mark_lines, remove_lines, sourced_lines
+from .repeated_lines import frequent_lines, host_of, mark_lines, remove_lines, sequence_counts, sourced_lines
 
 #: A line is boilerplate of a site if so many of its contents have it.
 SUPPORT = 8
@@ -61,10 +61,9 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_sequences(spark: SparkSession, folder: str) -> DataFrame:
-    """How many frequent sequences of each length a site has."""
+    """How many frequent sequences of each length, over any gaps, a site has."""
     lines = _site_lines(spark, folder)
-    seqs = frequent_sequences(mark_lines(lines, frequent_lines(lines, SUPPORT)), SUPPORT)
-    return seqs.groupBy(F.col("src").alias("site"), F.size("seq").alias("length")).agg(F.count("*").alias("sequences"))
+    return sequence_counts(mark_lines(lines, frequent_lines(lines, SUPPORT)), SUPPORT).withColumnRenamed("src", "site")
 
 
 def p2_cleaned(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Distributed PrefixSpan over line identifiers: the frequent single lines are
 counted first; each level then extends a frequent sequence by the lines that
-follow its first occurrence in a document. Only frequent lines stay in the
-projected documents, and only counts are shuffled.
+follow its first occurrence in a document, until a level has none. Only
+frequent lines stay in the projected documents; counts are combined before
+they are shuffled.
 """
 
 from __future__ import annotations
@@ -66,31 +67,74 @@ def mark_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
     return at.join(many, ["src", "line", "salt"]).select("doc", "src", (F.col("pos") + 1).cast("int").alias("line_no"), "line")
 
 
-def frequent_sequences(marked: DataFrame, support: int, longest: int = 3, gap: int = 1) -> DataFrame:
-    """src, seq (array of line ids), n: sequences of 1..longest frequent lines
-    in at least `support` distinct documents of a source.
-
-    A step may pass over gap - 1 other frequent lines. Every part of a
-    frequent sequence is frequent, so each level joins only what the level
-    before left; a document's projections are rows, never one gathered list.
-    """
+def _items(marked: DataFrame) -> DataFrame:
+    """src, doc, line, at (from 1 among the document's frequent lines), prev:
+    where the document has the line before that (0: nowhere)."""
     from pyspark.sql import Window
 
-    order = Window.partitionBy("src", "doc").orderBy("line_no")
-    items = write_shared(marked.select("src", "doc", "line", F.row_number().over(order).alias("at")), "ps-items")
-    level = items.select("src", "doc", F.array("line").alias("seq"), "at")
-    out = None
-    for size in range(1, longest + 1):
+    items = marked.select("src", "doc", "line", F.row_number().over(Window.partitionBy("src", "doc").orderBy("line_no")).alias("at"))
+    before = F.lag("at", 1, 0).over(Window.partitionBy("src", "doc", "line").orderBy("at"))
+    return write_shared(items.withColumn("prev", before), "ps-items")
+
+
+def frequent_sequences(marked: DataFrame, support: int, longest: int | None = None, gap: int | None = 1) -> DataFrame:
+    """src, seq (array of line ids), n: sequences of frequent lines in at least
+    `support` distinct documents of a source, up to `longest` lines if given.
+
+    A step may pass over gap - 1 other frequent lines (None: over any number).
+    Every part of a frequent sequence is frequent, so each level joins only
+    what the level before left; a document's projections are rows, never one
+    gathered list.
+    """
+    items = _items(marked)
+    # Without a gap the first occurrence has all that later ones have after it.
+    level = (items if gap else items.where("prev = 0")).select("src", "doc", F.array("line").alias("seq"), "at")
+    out, size = None, 1
+    while True:
         counted = level.select("src", "doc", "seq").distinct().groupBy("src", "seq").agg(F.count("*").alias("n")).where(F.col("n") >= support)
         counted = write_shared(counted, "ps-counted")
         out = counted if out is None else out.unionByName(counted)
-        if size == longest:
+        if size == longest or counted.isEmpty():
             return out
         left = level.join(counted.select("src", "seq"), ["src", "seq"], "left_semi")
-        step = items.select("src", "doc", "line", F.explode(F.sequence(F.col("at") - gap, F.col("at") - 1)).alias("at"), F.col("at").alias("to"))
-        level = left.join(step, ["src", "doc", "at"]).select("src", "doc", F.concat("seq", F.array("line")).alias("seq"), F.col("to").alias("at"))
-        level = write_shared(level, "ps-level")
-    return out
+        step = items.select("src", "doc", "line", "prev", F.col("at").alias("to"))
+        near = (F.col("to") > F.col("at")) & (F.col("to") <= F.col("at") + gap if gap else F.col("prev") <= F.col("at"))
+        level = left.join(step, ["src", "doc"]).where(near).select("src", "doc", F.concat("seq", F.array("line")).alias("seq"), F.col("to").alias("at"))
+        level, size = write_shared(level, "ps-level"), size + 1
+
+
+def sequence_counts(marked: DataFrame, support: int) -> DataFrame:
+    """src, length, sequences: how many sequences of each length are in at
+    least `support` distinct documents of a source, over any gaps.
+
+    PrefixSpan without listing the sequences, of which n common lines have
+    2^n: sequences that end at the same places of the same documents have the
+    same extensions, so a level keeps such a state once with the number of its
+    sequences. Levels go on until none is frequent. A state is known by two
+    64-bit hashes over its places; numbers beyond 38 digits are an error.
+    """
+    items = _items(marked).select("src", "doc", "line", "prev", F.col("at").alias("to"))
+    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")
+    number = "decimal(38,0)"
+    level = items.select("src", "doc").distinct().select("src", "doc", F.lit(0).alias("at"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"))
+    states = level.select("src", "x", "y").distinct().withColumn("ways", F.lit(1).cast(number))
+    out, size = None, 0
+    while True:
+        size += 1
+        # The next place of each line: after `at`, and not there between.
+        step = level.join(items, ["src", "doc"]).where("to > at and prev <= at").select("src", "x", "y", "line", "doc", "to")
+        step = write_shared(step, "ps-step")
+        place = [F.bit_xor(F.xxhash64("doc", "to")).alias("x2"), F.bit_xor(F.xxhash64("to", F.lit(size), "doc")).alias("y2")]
+        often = step.groupBy("src", "x", "y", "line").agg(F.count("*").alias("n"), *place).where(F.col("n") >= support)
+        often = often.join(states, ["src", "x", "y"]).groupBy("src", "x2", "y2").agg(F.sum("ways").cast(number).alias("ways"), F.min(F.struct("x", "y", "line")).alias("one"))
+        often = write_shared(often, "ps-states")
+        counted = often.groupBy("src").agg(F.lit(size).alias("length"), F.sum("ways").cast(number).alias("sequences"))
+        out = counted if out is None else out.unionByName(counted)
+        if often.isEmpty():
+            return out
+        states = often.select("src", F.col("x2").alias("x"), F.col("y2").alias("y"), "ways")
+        many = often.select("src", "one.*", "x2", "y2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        level = step.withColumn("salt", salt).join(many, ["src", "x", "y", "line", "salt"]).select("src", "doc", F.col("to").alias("at"), F.col("x2").alias("x"), F.col("y2").alias("y"))
 
 
 def remove_lines(docs: DataFrame, key: str, text: str, marked: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import itertools
 import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -68,6 +69,27 @@ def test_repeated_lines_and_sequences(spark):
     assert left["d0"] == "own text a" and left["n"] is None and left["e"] == ""
 
 
+def test_sequences_of_any_length_and_gap(spark):
+    rng = random.Random(5)
+    docs = [(f"d{i}", "\n".join(rng.sample("abcdefg", rng.randrange(3, 8)) + rng.choices("abc", k=2))) for i in range(14)]
+    docs += [(f"e{i}", "\n".join("abcdefg")) for i in range(4)]
+    df = spark.createDataFrame(docs, "key string, text string")
+    src = spark.createDataFrame([(k, k[0]) for k, _ in docs], "key string, src string")
+    lines = repeated_lines.sourced_lines(df, "key", "text", src, "src")
+    marked = repeated_lines.mark_lines(lines, repeated_lines.frequent_lines(lines, 4))
+    want = {}
+    for site in "de":
+        found = Counter(q for k, text in docs if k[0] == site for q in {q for n in range(1, 10) for q in itertools.combinations(text.split("\n"), n)})
+        for q, n in found.items():
+            if n >= 4:
+                want[site, len(q)] = want.get((site, len(q)), 0) + 1
+    assert max(n for _, n in want) == 7 and want["e", 4] == 35
+    assert {(r.src, r.length): int(r.sequences) for r in repeated_lines.sequence_counts(marked, 4).collect()} == want
+    listed = repeated_lines.frequent_sequences(marked, 4, gap=None).collect()
+    assert Counter((r.src, len(r.seq)) for r in listed) == want
+    assert max(len(r.seq) for r in repeated_lines.frequent_sequences(marked.where("src = 'e'"), 4).collect()) == 7
+
+
 def test_hosts(spark):
     df = spark.createDataFrame([("HTTPS://user@WWW.City.example:80/x",), ("no url",), (None,)], "u string")
     assert [r[0] for r in df.select(repeated_lines.host_of(F.col("u"))).collect()] == ["city.example", None, None]
