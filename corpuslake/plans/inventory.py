@@ -44,6 +44,34 @@ def names_similar(spark, d):
     return j.where(s >= 0.4).select(F.col("a.p_partkey").alias("left_key"), F.col("b.p_partkey").alias("right_key"), F.round(s, 6).alias("similarity"))
 
 
+#: Rows of one word of one brand that a task compares with the others.
+HOT = 1000
+
+
+def names_similar_brand(spark, d):
+    """Pairs of parts of one brand whose names have at least 0.4 of their
+    words in common, or the words of one are among the other's.
+
+    Candidates share a word that is among the rarest of both (so many that 0.4
+    can't be reached without them), or that is the rarest word of one; they are verified
+    exactly. Words of many parts are spread over several tasks.
+    """
+    p = table(spark, d, "part").select("p_partkey", "p_brand", F.explode(X.name_tokens(F.col("p_name"))).alias("w"))
+    many = p.groupBy("p_brand", "w").agg(F.count("*").alias("n"))
+    t = p.join(many, ["p_brand", "w"]).groupBy("p_partkey", "p_brand").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("t"))
+    size = F.size("t")
+    rare = size - F.ceil(size * 0.4 - 1e-9) + 1
+    w = t.select("p_partkey", "p_brand", F.col("t.w").alias("t"), rare.alias("rare"), F.posexplode("t").alias("pos", "x"))
+    w = w.select("p_partkey", "p_brand", "t", "pos", (F.col("pos") < F.col("rare")).alias("rare"), "x.w", F.ceil(F.col("x.n") / HOT).cast("int").alias("salts"))
+    a = w.withColumn("salt", F.pmod(F.xxhash64("p_partkey"), F.col("salts")).cast("int")).alias("a")
+    b = w.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("b")
+    same = (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.p_partkey") < F.col("b.p_partkey"))
+    near = (F.col("a.rare") & F.col("b.rare")) | (F.col("a.pos") == 0) | (F.col("b.pos") == 0)
+    s, i = X.jaccard(F.col("a.t"), F.col("b.t")), F.size(F.array_intersect("a.t", "b.t"))
+    j = a.join(b, same).where(near).where((s >= 0.4) | (i == F.least(F.size("a.t"), F.size("b.t"))))
+    return j.select(F.col("a.p_partkey").alias("left_key"), F.col("b.p_partkey").alias("right_key"), F.round(s, 6).alias("similarity")).distinct()
+
+
 def branch_guess(spark, d):
     """Kind of site by its host, with a confidence."""
     h = U.host(F.col("url"))
@@ -97,7 +125,7 @@ def customer_orders(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        l2_normalize, vector_ids, cosine_topk, embed_join_labels, names_similar, branch_guess, entity_merge, warc_pointer_rank, portal_rank, gap_sets, customer_orders,
+        l2_normalize, vector_ids, cosine_topk, embed_join_labels, names_similar, names_similar_brand, branch_guess, entity_merge, warc_pointer_rank, portal_rank, gap_sets, customer_orders,
     )
 }
 
@@ -115,6 +143,9 @@ SQL = {
     "names_similar": """with p as (select p_partkey, p_brand, p_size, list_distinct(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda x: x not in ('', 'the', 'of', 'and', 'for', 'a'))) as t from part),
         j as (select a.p_partkey as l, b.p_partkey as r, len(list_intersect(a.t, b.t)) as i, len(a.t) + len(b.t) as n from p a join p b on a.p_brand = b.p_brand and a.p_size = b.p_size and a.p_partkey < b.p_partkey)
         select l as left_key, r as right_key, round(i::double / (n - i), 6) as similarity from j where i > 0 and i::double / (n - i) >= 0.4""",
+    "names_similar_brand": """with p as (select p_partkey, p_brand, list_distinct(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda x: x not in ('', 'the', 'of', 'and', 'for', 'a'))) as t from part),
+        j as (select a.p_partkey as l, b.p_partkey as r, len(list_intersect(a.t, b.t)) as i, len(a.t) + len(b.t) as n, least(len(a.t), len(b.t)) as k from p a join p b on a.p_brand = b.p_brand and a.p_partkey < b.p_partkey)
+        select l as left_key, r as right_key, round(i::double / (n - i), 6) as similarity from j where i > 0 and (i::double / (n - i) >= 0.4 or i = k)""",
     "branch_guess": f"with {_U} select distinct host, {_KIND} as kind, case when {_KIND} = 'other' then 0.2 when contains(host, '.gov.') then 0.9 else 0.6 end::double as confidence from t",
     "entity_merge": f"""with {_U} select host, count(*) as pages, coalesce(array_to_string(list_sort(list(distinct lower(trim(last_status))) filter (where last_status is not null)), '|'), '') as statuses, min(last_finished_at) as first_seen,
         first(url order by case when last_status_code = 200 then 1 else 0 end desc, length(url), url desc) as best from t group by host""",
