@@ -32,10 +32,19 @@ def best_row_dedupe(spark, d):
     return best_by_key(t.select("k", "doc_id", "text", "state_code"), ["k"], q, F.col("doc_id")).select("k", "doc_id")
 
 
+def _quality(spark, d, first=None):
+    legal, noise = X.hits(F.lower("text"), r"\b(?:section|shall|pursuant)\b|§", first), X.hits(F.lower("text"), r"\b(?:click|cookie|menu)\b", first)
+    return _docs(spark, d).select("doc_id", legal.alias("legal"), noise.alias("noise"), (legal * 5 - noise * 4).alias("score"))
+
+
 def text_quality(spark, d):
     """Legal and noise hits in the first 4000 characters, and their score."""
-    legal, noise = X.hits(F.lower("text"), r"\b(?:section|shall|pursuant)\b|§", 4000), X.hits(F.lower("text"), r"\b(?:click|cookie|menu)\b", 4000)
-    return _docs(spark, d).select("doc_id", legal.alias("legal"), noise.alias("noise"), (legal * 5 - noise * 4).alias("score"))
+    return _quality(spark, d, 4000)
+
+
+def text_quality_whole(spark, d):
+    """Legal and noise hits in the whole text, and their score."""
+    return _quality(spark, d)
 
 
 def state_extract(spark, d):
@@ -200,7 +209,7 @@ def latest_edition(spark, d):
 
 
 QUERIES = {
-    "nested_haspart_explode": nested_haspart_explode, "best_row_dedupe": best_row_dedupe, "text_quality": text_quality, "state_extract": state_extract,
+    "nested_haspart_explode": nested_haspart_explode, "best_row_dedupe": best_row_dedupe, "text_quality": text_quality, "text_quality_whole": text_quality_whole, "state_extract": state_extract,
     "row_score": row_score, "clean_threshold": clean_threshold, "reject_reason": reject_reason, "reject_histogram": reject_histogram,
     "family_infer": family_infer, "cid_v1": cid_v1_query, "cid_dedupe": cid_dedupe, "partition_manifest": partition_manifest, "kg_edges": kg_edges,
     "kg_nodes": kg_nodes, "kg_stats": kg_stats, "kg_tagged": kg_tagged, "key_cid_index": key_cid_index, "semantic_text": semantic_text,
@@ -234,6 +243,8 @@ SQL = {
         qualify row_number() over (partition by {_KEY} order by length(coalesce(text, '')) desc, (state_code is not null) desc, doc_id) = 1""",
     "text_quality": """with c as (select doc_id, len(regexp_extract_all(left(lower(coalesce(text, '')), 4000), '\\b(?:section|shall|pursuant)\\b|§'))::int as legal,
         len(regexp_extract_all(left(lower(coalesce(text, '')), 4000), '\\b(?:click|cookie|menu)\\b'))::int as noise from documents) select *, legal * 5 - noise * 4 as score from c""",
+    "text_quality_whole": """with c as (select doc_id, len(regexp_extract_all(lower(coalesce(text, '')), '\\b(?:section|shall|pursuant)\\b|§'))::int as legal,
+        len(regexp_extract_all(lower(coalesce(text, '')), '\\b(?:click|cookie|menu)\\b'))::int as noise from documents) select *, legal * 5 - noise * 4 as score from c""",
     "state_extract": "select doc_id, coalesce(case when regexp_matches(upper(trim(state_code)), '^[A-Z]{2}$') then upper(trim(state_code)) end, nullif(regexp_extract(source, '^([a-z]+)_', 1), ''), 'unknown') as state from documents",
     "row_score": f"with {_D} select doc_id, {_SCORE} as score from d",
     "clean_threshold": f"with {_D}, s as (select lang, {_SCORE} as score from d) select lang, count(*) as seen, count_if(score >= 2) as kept, count_if(score < 2) as dropped from s group by 1",

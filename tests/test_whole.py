@@ -5,8 +5,6 @@ import random
 
 from corpuslake.plans import catalog
 
-from .oracle import both
-
 
 def made(spark, folder, name, rows, schema):
     spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
@@ -26,3 +24,8 @@ def test_names_of_one_brand_and_any_size(spark, tmp_path, monkeypatch):
             want.add((a, b, round(len(i) / len(u), 6)))
     assert any(s < 0.4 for _, _, s in want)
     assert sorted(map(tuple, catalog.QUERIES["names_similar_brand"](spark, folder).collect())) == sorted(want)
+
+
+def test_hits_beyond_4000_characters(spark, tmp_path):
+    folder = made(spark, tmp_path, "documents", [(1, "x " * 3000 + "shall § menu"), (2, None)], "doc_id long, text string")
+    assert sorted(map(tuple, catalog.QUERIES["text_quality_whole"](spark, folder).collect())) == [(1, 2, 1, 6), (2, 0, 0, 0)]
