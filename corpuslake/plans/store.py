@@ -106,6 +106,13 @@ def jsonl_lenient_parse(spark, d):
     return t.select("event_id", F.from_json("p", "k int")["k"].alias("k")).where("k is not null")
 
 
+def jsonl_lenient_every(spark, d):
+    """Properties of every event, read leniently among cut-off copies."""
+    t = table(spark, d, "events").select("event_id", F.col("props").alias("p"))
+    broken = t.where("event_id % 7 = 0").select("event_id", F.substring("p", 1, 4).alias("p"))
+    return t.unionByName(broken).select("event_id", F.from_json("p", "k int")["k"].alias("k")).where("k is not null")
+
+
 def best_summary(spark, d):
     """Best event of each user by rank of its type, then value, then time."""
     rank = F.when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "signup", 2).otherwise(1)
@@ -156,7 +163,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         upsert_url_latest, upsert_cid_content, url_cid_history, url_cid_map, resume_anti, link_frontier, archive_status, attempt_numbers, status_carry,
-        latency_stats, run_compare, jsonl_lenient_parse, best_summary, pending_retry, cycle_gate, coverage_ratio, batch_assign, status_classify,
+        latency_stats, run_compare, jsonl_lenient_parse, jsonl_lenient_every, best_summary, pending_retry, cycle_gate, coverage_ratio, batch_assign, status_classify,
     )
 }
 
@@ -184,6 +191,7 @@ SQL = {
     "latency_stats": "select event_type, round(min(value), 6) as least, round(max(value), 6) as most, round(avg(value), 6) as mean, round(median(value), 6) as median from events group by 1",
     "run_compare": "with t as (select count_if(event_type = 'view') as a, count_if(event_type = 'click') as b from events) select a, b, case when a > 0 then round((b - a) * 100.0::double / a, 6) end as change_percent from t",
     "jsonl_lenient_parse": "select event_id, (props->>'k')::int as k from events where event_id % 7 <> 0 and props->>'k' is not null",
+    "jsonl_lenient_every": "select event_id, (props->>'k')::int as k from events where props->>'k' is not null",
     "best_summary": """with t as (select *, case event_type when 'purchase' then 3 when 'signup' then 2 else 1 end as r from events where user_id is not null)
         select user_id, first(event_id order by r desc, value desc, ts desc, event_id desc) as event_id, max(r) as rank from t group by 1""",
     "pending_retry": """with t as (select user_id, greatest(0.0, (epoch_us(max(ts)) + 3 * 86400000000 - epoch_us(timestamp '2024-01-30 12:00:00')) / 1e6) as s from events group by 1)

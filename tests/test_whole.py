@@ -29,3 +29,8 @@ def test_names_of_one_brand_and_any_size(spark, tmp_path, monkeypatch):
 def test_hits_beyond_4000_characters(spark, tmp_path):
     folder = made(spark, tmp_path, "documents", [(1, "x " * 3000 + "shall § menu"), (2, None)], "doc_id long, text string")
     assert sorted(map(tuple, catalog.QUERIES["text_quality_whole"](spark, folder).collect())) == [(1, 2, 1, 6), (2, 0, 0, 0)]
+
+
+def test_every_real_line_is_parsed(spark, tmp_path):
+    folder = made(spark, tmp_path, "events", [(i, f'{{"k": {i * 2}}}') for i in range(1, 15)] + [(21, "no json")], "event_id long, props string")
+    assert sorted(map(tuple, catalog.QUERIES["jsonl_lenient_every"](spark, folder).collect())) == [(i, i * 2) for i in range(1, 15)]
