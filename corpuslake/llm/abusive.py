@@ -23,12 +23,12 @@ from .sample import in_share, share_of, slices
 #: Bounds of the training sample: labelled documents, unlabelled documents.
 MOST_LABELLED, MOST_UNLABELLED = 8_000, 4_000
 #: Hashed feature space, expected share of abusive sentences among the
-#: unlabelled where no labels tell, and the score from which a document counts.
+#: unlabelled before any label, and the score from which a document counts.
 BITS, PRIOR, THRESHOLD = 20, 0.01, 0.5
 #: Abusive sentences that an abusive document has, about.
 EACH = 1.5
-#: Labelled abusive documents from which their share is believed.
-ENOUGH = 30
+#: Labelled documents that PRIOR weighs as much as.
+BELIEF = 500
 #: Sentences of fewer features count as if they had so many: a word or two
 #: must be strong to decide.
 SHORT = 8
@@ -174,6 +174,13 @@ def train_nnpu(ids, at, positive, unlabelled, prior: float = PRIOR, epochs: int
     return weights, bias
 
 
+def class_prior(positives: int, labelled: int, each: float) -> float:
+    """Share of abusive sentences: that of the labels, drawn to PRIOR as by
+    BELIEF labelled documents; one rule for few labels and for many. each:
+    abusive sentences of an abusive document to sentences of any."""
+    return float(np.clip((positives * each + BELIEF * PRIOR) / (labelled + BELIEF), 0.002, 0.1))
+
+
 def train(positives: list[str], negatives: list[str], unlabelled: list[str], rounds: int = 3) -> tuple[np.ndarray, float, frozenset[str]]:
     """Model from confirmed abusive and clean documents and unlabelled ones.
 
@@ -191,10 +198,9 @@ def train(positives: list[str], negatives: list[str], unlabelled: list[str], rou
     confirmed = doc < len(CONFIRMED)
     inside = (doc >= len(CONFIRMED)) & (doc < len(CONFIRMED) + len(positives))
     other = ~confirmed & ~inside
-    prior = PRIOR
-    if len(positives) >= ENOUGH and negatives:
-        share = len(positives) / (len(positives) + len(negatives))
-        prior = float(np.clip(share * EACH * len(texts) / max(len(doc), 1), 0.002, 0.1))
+    # Without clean labels the others tell nothing of the share.
+    labelled = len(positives) + len(negatives) if negatives else 0
+    prior = class_prior(len(positives) if negatives else 0, labelled, EACH * len(texts) / max(len(doc), 1))
     weights, bias = np.zeros(_SIZE), 0.0
     positive = confirmed | inside
     for r in range(rounds + 1):

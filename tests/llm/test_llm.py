@@ -237,6 +237,14 @@ def test_spelling():
     assert abusive.sentences("you i d i o t s here") == ["you idiots here"]
 
 
+def test_class_prior_has_no_jump():
+    priors = [abusive.class_prior(n, 1000, 0.3) for n in range(60)]
+    steps = np.diff(priors)
+    assert abusive.class_prior(0, 0, 0.3) == abusive.PRIOR
+    assert (steps > 0).all() and steps.max() < 1.01 * steps.min()
+    assert abs(abusive.class_prior(60_000, 1_000_000, 0.3) - 0.018) < 1e-4
+
+
 def test_abusive_on_held_out_documents(spark):
     rng = random.Random(1)
     say = lambda: f"The {rng.choice(WORDS)} board shall {rng.choice(['file', 'post', 'amend'])} the {rng.choice(WORDS)} permit within {rng.randrange(90)} days."
