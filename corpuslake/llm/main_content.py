@@ -1,94 +1,55 @@
 """The main body of a page: a linear-chain CRF over its lines.
 
-The tables hold no markup, so the blocks are the text's lines and the features
-are of their wording, shape, place and neighbours. The field is trained on
-labelled pages (pages labelled by trusted wordings, a bounded sample) and
-decoded by Viterbi.
+The tables hold no markup, so the blocks are the text's lines; a feature is a
+hashed word or pair of words, a shape, a neighbour's shape or a place. The
+field is trained on labelled pages and decoded by Viterbi. Labelled pages are
+given, or a bounded sample is labelled by trusted wordings and by what repeats
+from page to page; neither is a feature.
 """
 
 from __future__ import annotations
 
-import re
-from functools import lru_cache, partial
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
-
-from .page_lines import _BULLET, _LISTED, _NUMBERED, KINDS, LONG, is_menu, is_title, kind_of, weak_labels
-from .sample import in_share, share_of, slices
-
-#: States: main content, furniture, box of links. Training pages at most.
-STATES, MOST_PAGES = 3, 1_500
-
-_KINDS = list(KINDS)
-_SHAPES = ["menu", "title", "long", "stop", "bullet", "numbered", "listed", "short", "sentence", "other"]
-_BASE = len(_KINDS) + len(_SHAPES)
-# Own features, the previous and the next line's, then the place in the page.
-FEATURES = 3 * _BASE + 5
-_LOWER = re.compile(r"[a-z]{2}")
-
-
-@lru_cache(20_000)
-def _short_features(line: str) -> tuple[int, ...]:
-    out = []
-    kind = kind_of(line)
-    if kind:
-        out.append(_KINDS.index(kind))
-    shape = lambda name: out.append(len(_KINDS) + _SHAPES.index(name))
-    bare = _BULLET.sub("", line).strip()
-    if not kind:
-        if is_menu(line):
-            shape("menu")
-        elif _NUMBERED.match(bare):
-            shape("numbered")
-        elif _LISTED.search(line):
-            shape("listed")
-        elif is_title(line):
-            shape("title")
-        elif bare.endswith((".", ";", "?", "!", ":")):
-            shape("sentence")
-        else:
-            shape("other")
-    if bare.endswith("."):
-        shape("stop")
-    if bare != line.strip():
-        shape("bullet")
-    if len(bare) < 40:
-        shape("short")
-    return tuple(out)
-
-
-_PROSE = (len(_KINDS) + _SHAPES.index("long"),)
-
-
-def line_features(line: str) -> tuple[int, ...]:
-    return _PROSE if len(line) > LONG else _short_features(line.replace("\r", ""))
-
-
-def page_features(lines: list[str]) -> tuple[list[int], list[list[int]]]:
-    """(numbers of the lines that aren't blank, their features)."""
-    at = [i for i, x in enumerate(lines) if x and not x.isspace()]
-    own = [line_features(lines[i]) for i in at]
-    n, out = len(at), []
-    for k in range(n):
-        f = list(own[k])
-        if k:
-            f += [_BASE + x for x in own[k - 1]]
-        if k + 1 < n:
-            f += [2 * _BASE + x for x in own[k + 1]]
-        f.append(3 * _BASE + (0 if k < 4 else 1 if k >= n - 4 else 2))
-        if at[k] and (k == 0 or at[k] - at[k - 1] > 1):
-            f.append(3 * _BASE + 3)  # after a blank line
-        f.append(3 * _BASE + 4)
-        out.append(f)
-    return at, out
+
+from .page_lines import FEATURES, page_features, page_labels, repeated_lines
+
+#: States: main content, furniture, box of links. Training pages at most, and
+#: at most so many characters of each (longer ones train no model but are
+#: scored whole like all others).
+STATES, MOST_PAGES, LONGEST = 3, 1_500, 20_000
+
+Model = tuple[np.ndarray, np.ndarray]
 
 
-def _emissions(feats: list[list[int]], weights: np.ndarray) -> np.ndarray:
-    lens = np.fromiter(map(len, feats), np.int64)
-    flat = np.fromiter((x for f in feats for x in f), np.int64)
-    return np.add.reduceat(weights[flat], np.concatenate(([0], np.cumsum(lens)[:-1])), axis=0)
+class Lines:
+    """Features of the lines of several pages, flat, for steps over all pages
+    at once."""
+
+    def __init__(self, pages: list[list[tuple[list[int], list[int]]]]):
+        flat = [f for p in pages for f in p]
+        self.sizes = np.array([len(p) for p in pages], np.int64)
+        self.start = np.concatenate(([0], np.cumsum(self.sizes)[:-1])).astype(np.int64)
+        self.count = len(flat)
+        w, o = [len(a) for a, _ in flat], [len(b) for _, b in flat]
+        lens = np.fromiter((x for pair in zip(w, o) for x in pair), np.int64, 2 * len(flat))
+        self.ids = np.fromiter((x for a, b in flat for part in (a, b) for x in part), np.int64, int(lens.sum()))
+        # Words of a line weigh 1/sqrt of their number, so long lines don't shout.
+        value = np.empty(2 * len(flat))
+        value[0::2] = 1 / np.sqrt(np.maximum(w, 1))
+        value[1::2] = 0.5
+        self.value = np.repeat(value, lens)
+        self.line = np.repeat(np.repeat(np.arange(len(flat)), 2), lens)
+        self.order = np.argsort(-self.sizes, kind="stable")
+
+    def emissions(self, weights: np.ndarray) -> np.ndarray:
+        e = np.empty((self.count, STATES))
+        for s in range(STATES):
+            e[:, s] = np.bincount(self.line, weights[self.ids, s] * self.value, self.count)
+        return e
+
+    def live(self, k: int) -> np.ndarray:
+        """Pages with more than k lines."""
+        return self.order[: int((self.sizes > k).sum())]
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -96,61 +57,84 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def train(pages: list[list[str]], labels: list[list[int]], epochs: int = 6, rate: float = 0.15, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (features x states) and transitions by stochastic gradient on
-    the conditional likelihood. labels: a state for each line, -1 for blank."""
+def _gradient(d: Lines, y: np.ndarray, w: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the conditional log-likelihood: (of emissions, of moves).
+    Forward and backward sums, all pages of the batch stepping together."""
+    e = d.emissions(w)
+    fwd, bwd = e.copy(), np.zeros_like(e)
+    longest = int(d.sizes.max())
+    for k in range(1, longest):
+        i = d.start[d.live(k)] + k
+        fwd[i] += _logsum(fwd[i - 1][:, :, None] + t[None], 1)
+    for k in range(longest - 2, -1, -1):
+        i = d.start[d.live(k + 1)] + k
+        bwd[i] = _logsum(t[None] + (e[i + 1] + bwd[i + 1])[:, None, :], 2)
+    z = np.repeat(_logsum(fwd[d.start + d.sizes - 1], 1), d.sizes)
+    gap = -np.exp(fwd + bwd - z[:, None])
+    gap[np.arange(d.count), y] += 1
+    inner = np.ones(d.count, bool)
+    inner[d.start] = False
+    i = np.flatnonzero(inner)
+    both = np.exp(fwd[i - 1][:, :, None] + t[None] + (e[i] + bwd[i])[:, None, :] - z[i][:, None, None])
+    moves = -both.sum(axis=0)
+    np.add.at(moves, (y[i - 1], y[i]), 1)
+    return gap, moves
+
+
+def train(pages: list[list[str]], labels: list[list[int]], epochs: int = 14, batch: int = 60, rate: float = 0.1, decay: float = 1e-5) -> Model:
+    """Weights (features x states) and moves by Adam on the conditional
+    likelihood. labels: a state for each line, -1 for blank. The same on every
+    run."""
     data = []
     for lines, lab in zip(pages, labels):
         at, feats = page_features(lines)
         if at:
-            data.append((feats, np.array([max(0, lab[i]) for i in at])))
+            data.append((feats, [max(0, lab[i]) for i in at]))
     w, t = np.zeros((FEATURES, STATES)), np.zeros((STATES, STATES))
-    step = 0
+    if not data:
+        return w, t
+    mix = np.random.default_rng(5).permutation(len(data))
+    parts = [[data[i] for i in mix[a : a + batch]] for a in range(0, len(data), batch)]
+    parts = [(Lines([f for f, _ in p]), np.array([s for _, y in p for s in y])) for p in parts]
+    mw, vw, mt, vt = np.zeros_like(w), np.zeros_like(w), np.zeros_like(t), np.zeros_like(t)
+    step, steps = 0, epochs * len(parts)
     for _ in range(epochs):
-        for feats, y in data:
+        for d, y in parts:
             step += 1
-            lr = rate / (1 + step / (4 * len(data)))
-            e = _emissions(feats, w)
-            n = len(y)
-            fwd, bwd = np.zeros((n, STATES)), np.zeros((n, STATES))
-            fwd[0] = e[0]
-            for i in range(1, n):
-                fwd[i] = e[i] + _logsum(fwd[i - 1][:, None] + t, 0)
-            for i in range(n - 2, -1, -1):
-                bwd[i] = _logsum(t + (e[i + 1] + bwd[i + 1])[None, :], 1)
-            z = _logsum(fwd[-1], 0)
-            gap = -np.exp(fwd + bwd - z)
-            gap[np.arange(n), y] += 1
-            lens = np.fromiter(map(len, feats), np.int64)
-            np.add.at(w, np.fromiter((x for f in feats for x in f), np.int64), lr * np.repeat(gap, lens, axis=0))
-            if n > 1:
-                both = np.exp(fwd[:-1, :, None] + t[None] + (e[1:] + bwd[1:])[:, None, :] - z)
-                t -= lr * both.sum(axis=0)
-                np.add.at(t, (y[:-1], y[1:]), lr)
-            w *= 1 - lr * decay
-    return w, t
-
-
-def viterbi(pages: list[list[list[int]]], weights: np.ndarray, moves: np.ndarray) -> list[np.ndarray]:
+            gap, moves = _gradient(d, y, w, t)
+            g = np.empty_like(w)
+            for s in range(STATES):
+                g[:, s] = np.bincount(d.ids, gap[d.line, s] * d.value, FEATURES)
+            scale = 1 / len(d.sizes)
+            lr = rate * (1 - step / (steps + 1))
+            for x, m, v, gx in ((w, mw, vw, g * scale - decay * w), (t, mt, vt, moves * scale)):
+                m *= 0.9
+                m += 0.1 * gx
+                v *= 0.99
+                v += 0.01 * gx * gx
+                x += lr * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+    return w.astype(np.float32), t
+
+
+def viterbi(pages: list[list[tuple[list[int], list[int]]]], weights: np.ndarray, moves: np.ndarray) -> list[np.ndarray]:
     """Best states of each page's lines; all pages of a batch step together."""
     full = [p for p in pages if p]
     if not full:
         return [np.zeros(0, np.int64) for _ in pages]
-    e = _emissions([f for p in full for f in p], weights)
-    lens = np.array([len(p) for p in full])
-    start = np.concatenate(([0], np.cumsum(lens)[:-1]))
-    order = np.argsort(-lens, kind="stable")
+    d = Lines(full)
+    e, start = d.emissions(weights), d.start
     best = e[start].copy()
     back = np.zeros((len(e), STATES), np.int8)
-    for k in range(1, int(lens.max())):
-        live = order[: int((lens > k).sum())]
+    longest = int(d.sizes.max())
+    for k in range(1, longest):
+        live = d.live(k)
         reach = best[live][:, :, None] + moves[None]
         back[start[live] + k] = reach.argmax(axis=1)
         best[live] = reach.max(axis=1) + e[start[live] + k]
     state = best.argmax(axis=1)
     out = np.zeros(len(e), np.int64)
-    for k in range(int(lens.max()) - 1, -1, -1):
-        live = order[: int((lens > k).sum())]
+    for k in range(longest - 1, -1, -1):
+        live = d.live(k)
         out[start[live] + k] = state[live]
         if k:
             state[live] = back[start[live] + k, state[live]]
@@ -158,31 +142,16 @@ def viterbi(pages: list[list[list[int]]], weights: np.ndarray, moves: np.ndarray
     return [next(pieces) if p else np.zeros(0, np.int64) for p in pages]
 
 
-def fit(texts: DataFrame, key: str, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Train on about MOST_PAGES pages, chosen by the hash of their key and
-    labelled by the trusted wordings; the same pages on every run."""
-    some = texts.where(in_share(F.col(key), share_of(texts, key, MOST_PAGES)))
-    rows = sorted(some.where(F.length(text) > 0).select(key, text).collect())
-    pages = [r[1].split("\n") for r in rows]
-    return train(pages, [weak_labels(p) for p in pages]) if pages else (np.zeros((FEATURES, STATES)), np.zeros((STATES, STATES)))
-
-
-def _mark(batches, text: str, parts: list[str], model):
-    weights, moves = model.value
-    for b in slices(batches):
-        texts = b.column(b.schema.get_field_index(text)).to_pylist()
-        found = [page_features(t.split("\n")) if t else ([], []) for t in texts]
-        states = viterbi([f for _, f in found], weights, moves)
-        rows = np.repeat(np.arange(len(texts)), [int((s > 0).sum()) for s in states])
-        numbers = [i + 1 for (at, _), s in zip(found, states) for i, x in zip(at, s) if x > 0]
-        kept = b.select(parts).take(pa.array(rows, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(numbers, pa.int32())], names=[*parts, "line_no"])
-
-
-def furniture_lines(texts: DataFrame, text: str, model, *columns: str) -> DataFrame:
-    """columns and line_no (from 1, split at \\n) of each line that is not
-    main body. Blank lines, null and empty texts give none. No shuffle; the
-    model (a few KB) is broadcast."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*(texts.schema[c] for c in columns), T.StructField("line_no", T.IntegerType())])
-    return texts.select(*columns, text).mapInArrow(partial(_mark, text=text, parts=list(columns), model=shared), schema)
+def states(texts: list[str | None], model: Model) -> list[tuple[list[int], np.ndarray]]:
+    """(numbers from 0 of the lines that aren't blank, their states) of each text."""
+    found = [page_features(t.split("\n")) if t else ([], []) for t in texts]
+    return [(at, s) for (at, _), s in zip(found, viterbi([f for _, f in found], *model))]
+
+
+def fit_pages(pages: list[list[str]], labels: list[list[int]] | None = None) -> Model:
+    """A model from training pages. labels: a state for each line (labelled by
+    hand); without, the trusted wordings and what repeats over these pages."""
+    if labels is None:
+        repeated = repeated_lines(pages)
+        labels = [page_labels(p, repeated) for p in pages]
+    return train(pages, labels)

@@ -1,12 +1,20 @@
-"""Text features of the lines of a page, shared by the page operators."""
+"""Lines of a page: labels for training pages, and features that share nothing
+with the labels' wordings.
+
+The wordings below label a bounded sample of training pages, together with
+what repeats from page to page in that sample. No feature of a line looks at
+them: features are hashed words, shapes and places, so a model fitted on the
+labels also finds wordings that no list has.
+"""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 # Wordings by which sites mark what is not their main content,
-# one alternative for each kind.
+# one alternative for each kind. Labels of training pages only.
 KINDS: dict[str, str] = {
     "top": r"menu|skip to (?:main )?content|toggle navigation|main navigation|jump to navigation",
     "crumb": r"home\s*(?:[>»/›]|::).+",
@@ -49,17 +57,18 @@ _SPACE = re.compile(r"\s+")
 _NAV_CUT = re.compile(r"\s*(?:\||·|::|/|>|»|•| - )\s*|\s{2,}")
 _NUMBERED = re.compile(r"(?:(?:section|article|rule|chapter|part|title|item)\s+[\d\-.]+|§|\([a-z0-9]{1,3}\)|\d+(?:\.\d+)+\b|\d+\.\s)", re.I)
 _LISTED = re.compile(r"item \d+|\$\d|\bmotion to\b|, see | - .+ / |\(\w+\): ", re.I)
-#: Lines longer than this are prose; they are only looked at for their ends.
-LONG = 170
+_CAPITAL = re.compile(r"(?<=\S )[^\W\d_a-z][^\W\d_]+(?:'s)?")
+_NUMBER = re.compile(r"\d+")
+
+#: A line repeats in a training sample if so large a share of its pages (and
+#: at least LEAST_PAGES) has it, names and numbers aside.
+REPEATED, LEAST_PAGES = 0.004, 4
+#: Characters of a line from which a page has prose of its own.
+PROSE = 120
 
 
 def kind_of(line: str) -> str:
     """The kind of furniture a line is by its wording, or ''."""
-    return "" if len(line) > LONG else _kind_of(line)
-
-
-@lru_cache(20_000)
-def _kind_of(line: str) -> str:
     line = _SPACE.sub(" ", line).strip()
     m = _ALL.fullmatch(line)
     if m:
@@ -73,8 +82,6 @@ def _kind_of(line: str) -> str:
 
 def is_menu(line: str) -> bool:
     """A menu: one or more entries of a word (or two), nothing else."""
-    if len(line) > LONG:
-        return False
     raw = line.replace("\xa0", " ")
     body = _BULLET.sub("", raw).strip()
     if not body or body[-1] in ".:;?!,":
@@ -93,19 +100,43 @@ def is_title(line: str) -> bool:
     return 8 < len(body) < 130 and body[-1] not in ".;:!?," and body.count(" ") >= 2
 
 
-def weak_labels(lines: list[str]) -> list[int]:
-    """0 main content, 1 furniture, 2 link box, by the trusted wordings and
-    the titles that follow a link box's heading; blank lines are -1."""
+def plain_line(line: str) -> str:
+    """A line with its names and numbers masked, by which repeats are told."""
+    line = _SPACE.sub(" ", line).strip()
+    return _CAPITAL.sub("_", _NUMBER.sub("0", line)).lower()
+
+
+def repeated_lines(pages: list[list[str]]) -> set[str]:
+    """Masked lines that recur over the pages with prose of their own. A page
+    without (an error page) and a copy (most of its prose was there before)
+    don't count, so what errors and copies say is no furniture."""
+    count: Counter[str] = Counter()
+    known: set[str] = set()
+    full = 0
+    for p in pages:
+        prose = {plain_line(x) for x in p if len(x) >= PROSE}
+        if 2 * len(prose - known) > len(prose):
+            full += 1
+            count.update({plain_line(x) for x in p if x.strip()})
+        known |= prose
+    least = max(LEAST_PAGES, REPEATED * full)
+    return {x for x, n in count.items() if n >= least}
+
+
+def page_labels(lines: list[str], repeated: set[str] | frozenset[str] = frozenset(), kind=kind_of) -> list[int]:
+    """0 main content, 1 furniture, 2 link box, of a training page: by the
+    trusted wordings, by what repeats, and for the titles that follow a link
+    box's heading; blank lines are -1."""
     out, box = [], False
     for line in lines:
         if not line.strip():
             out.append(-1)
             continue
-        kind = kind_of(line)
-        if kind == "box":
+        what = kind(line)
+        if what == "box":
             out.append(2)
             box = True
-        elif kind:
+        elif what:
             out.append(1)
             box = False
         elif is_menu(line):
@@ -113,6 +144,129 @@ def weak_labels(lines: list[str]) -> list[int]:
         elif box and is_title(line) and not _NUMBERED.match(_BULLET.sub("", line).strip()) and not _LISTED.search(line):
             out.append(2)
         else:
-            out.append(0)
+            out.append(1 if repeated and plain_line(line) in repeated else 0)
             box = False
     return out
+
+
+# ---- Features -------------------------------------------------------------
+
+#: Places of the hashed words, then the shapes.
+WORD_BITS = 15
+WORDS = 1 << WORD_BITS
+_SHAPES = (
+    [f"len{i}" for i in range(12)] + [f"words{i}" for i in range(10)]
+    + [f"end{c}" for c in ".:;?!,)"] + ["end_word", "end_digit", "end_other"]
+    + ["bullet", "numbered", "money", "upper", "titled", "lower_first", "digit_first", "sign_first"]
+    + [f"cut{c}" for c in ("|", "/", ">", "»", "::", "·", "•", " - ", "  ")] + ["url", "few_letters", "one_word", "colon_early"]
+)
+_AT = {name: i for i, name in enumerate(_SHAPES)}
+SHAPES = len(_SHAPES)
+#: Own words and shapes, the line before's and the line after's shapes and
+#: first words, then the place in the page.
+EDGE_BITS = 10
+FEATURES = WORDS + 3 * SHAPES + 2 * (1 << EDGE_BITS) + 8
+_STRIP = ".,;:!?()[]{}\"'“”‘’«»*"
+_CUTS = ("|", "/", ">", "»", "::", "·", "•", " - ", "  ")
+
+
+def _hash(word: str, seed: int, bits: int) -> int:
+    import xxhash
+
+    return xxhash.xxh32_intdigest(word, seed) & ((1 << bits) - 1)
+
+
+class _Tokens(dict):
+    """token as written -> place of its word (case and edge signs aside, a
+    number is '#'); emptied when large."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        word = token.strip(_STRIP).lower()
+        word = "#" if word[:1].isdigit() or word[:1] in ("$", "§") and word else word or token
+        value = self[token] = _hash(word, 11, 32)
+        return value
+
+
+_TOKENS = _Tokens()
+
+
+@lru_cache(50_000)
+def _shapes(line: str) -> tuple[int, ...]:
+    """Shape places of a line whose ends are trimmed."""
+    out = [_AT[f"len{min(11, len(line).bit_length())}"]]
+    add = lambda name: out.append(_AT[name])
+    bare = _BULLET.sub("", line)
+    if bare != line:
+        add("bullet")
+    n = bare.count(" ") + 1
+    add(f"words{min(9, n if n < 5 else 3 + n.bit_length())}")
+    end = bare[-1:] or line[-1]
+    add(f"end{end}" if f"end{end}" in _AT else "end_word" if end.isalpha() else "end_digit" if end.isdigit() else "end_other")
+    if _NUMBERED.match(bare):
+        add("numbered")
+    if "$" in bare:
+        add("money")
+    letters = sum(map(str.isalpha, bare)) if len(bare) < 400 else len(bare)
+    if letters and bare.isupper():
+        add("upper")
+    elif bare.istitle():
+        add("titled")
+    if 2 * letters < len(bare):
+        add("few_letters")
+    first = bare[:1]
+    add("lower_first" if first.islower() else "digit_first" if first.isdigit() else "sign_first") if first and not first.isupper() else None
+    for c in _CUTS:
+        if c in bare:
+            add(f"cut{c}")
+    if ".example" in bare or "www." in bare or "://" in bare:
+        add("url")
+    if n == 1:
+        add("one_word")
+    if 0 <= bare.find(":") < 24:
+        add("colon_early")
+    return tuple(out)
+
+
+def _words(line: str) -> list[int]:
+    """32-bit values of a line's words, neighbouring words, and its first and
+    last words marked as such."""
+    t = [_TOKENS[w] for w in line.split()]
+    if not t:
+        return t
+    pairs = [((a * 0x9E3779B1) ^ (b * 0x85EBCA77)) & 0xFFFFFFFF for a, b in zip(t, t[1:])]
+    return [*t, *pairs, t[0] ^ 0x5BD1E995, t[-1] ^ 0x27D4EB2F]
+
+
+def page_features(lines: list[str]) -> tuple[list[int], list[tuple[list[int], list[int]]]]:
+    """(numbers of the lines that aren't blank, (word places, other places) of
+    each). Whole lines are read, however long."""
+    at, own, words, edge = [], [], [], []
+    shift = 32 - WORD_BITS
+    for i, raw in enumerate(lines):
+        line = raw.replace("\xa0", " ").strip()
+        if not line:
+            continue
+        at.append(i)
+        own.append(_shapes(line))
+        w = _words(line)
+        words.append(list({(x * 0x9E3779B1 & 0xFFFFFFFF) >> shift for x in w}))
+        edge.append(w[-2] >> (32 - EDGE_BITS))
+    n, out = len(at), []
+    e0 = WORDS + 3 * SHAPES
+    e1, last = e0 + (1 << EDGE_BITS), e0 + 2 * (1 << EDGE_BITS)
+    for k in range(n):
+        f = [WORDS + x for x in own[k]]
+        if k:
+            f += [WORDS + SHAPES + x for x in own[k - 1]]
+            f.append(e0 + edge[k - 1])
+        if k + 1 < n:
+            f += [WORDS + 2 * SHAPES + x for x in own[k + 1]]
+            f.append(e1 + edge[k + 1])
+        f.append(last + min(k, 3) if k < n - 4 or k < 2 else last + 4 + min(n - 1 - k, 1))
+        if at[k] and (k == 0 or at[k] - at[k - 1] > 1):
+            f.append(last + 6)  # after a blank line
+        f.append(last + 7)
+        out.append((words[k], f))
+    return at, out

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.components import connected_components
 from ..session import write_shared
 from ..tables import table
-from . import abusive, main_content, template_residue
+from . import abusive, template_residue
 from .best_record import choose, group_rows, plain_address, plain_identifier, source_reliability
 from .containers import pack
 from .encode import decode, encode, token_counts
@@ -74,27 +74,25 @@ def p2_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return remove_lines(docs, "content_cid", "text", marked).select("content_cid", F.length("text").alias("chars_left"))
 
 
-def _residue(spark: SparkSession, folder: str) -> DataFrame:
-    """content_cid, is_residue of every content."""
-    pages = table(spark, folder, "cid_content").select("content_cid", "text")
-    tries = table(spark, folder, "scrape_attempts").where("status_code >= 400").select("content_cid")
-    last = table(spark, folder, "url_cid_latest").where("last_status_code >= 400").select(F.col("last_content_cid").alias("content_cid"))
-    model = template_residue.fit(pages, "content_cid", "text", tries.unionByName(last))
-    return template_residue.residue(pages, "text", model)
+def _page_model(spark: SparkSession, folder: str) -> template_residue.PageModel:
+    every = texts(spark, folder)
+    tries = table(spark, folder, "scrape_attempts").where("status_code >= 400").select(F.col("content_cid").alias("rec_key"))
+    last = table(spark, folder, "url_cid_latest").where("last_status_code >= 400").select(F.col("last_content_cid").alias("rec_key"))
+    pages, others = every.where("rec_table = 'cid_content'"), every.where("rec_table = 'source_record'")
+    return template_residue.fit(pages, "rec_key", "text", tries.unionByName(last), others)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Contents that are an error page, a script demand, filler or a template."""
-    return _residue(spark, folder).where("is_residue").select("content_cid")
+    pages = table(spark, folder, "cid_content").select("content_cid", "text")
+    return template_residue.residue(pages, "text", _page_model(spark, folder), "content_cid").where("is_residue").select("content_cid")
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines that are not main body, of all texts but those of p3."""
-    every = texts(spark, folder)
-    model = main_content.fit(every, "rec_key", "text")
-    lines = main_content.furniture_lines(every, "text", model, "rec_table", "rec_key")
-    out = p3_found(spark, folder).select(F.lit("cid_content").alias("rec_table"), F.col("content_cid").alias("rec_key"))
-    return lines.join(out, ["rec_table", "rec_key"], "left_anti")
+    """Lines that are not main body, of all texts but those of p3: one model,
+    one pass over the texts."""
+    every, model = texts(spark, folder), _page_model(spark, folder)
+    return template_residue.furniture_lines(every, "text", model, F.col("rec_table") == "cid_content", "rec_table", "rec_key")
 
 
 _ROW = "identifier string, legislationIdentifier string, name string, title string, text string, full_text string, url string, sourceUrl string, source_url string, effective_date string, effectiveDate string, retrieved_at string"

@@ -2,42 +2,52 @@
 
 A naive Bayes classifier of passages is learned from positive and unlabelled
 records by expectation-maximisation: trusted records (failed by their status,
-or of a trusted wording) begin as positive, all others as unlabelled, and both
-are re-weighted by what the words say. A record's decision adds up its
-passages, site furniture aside.
+or with a trusted sign) begin as positive, all others as unlabelled, and both
+are re-weighted by what the words say. Statuses and signs are used for the
+start of training only. A record's decision adds up its passages, site
+furniture aside; nothing but the posteriors decides, whatever its length.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 from functools import partial
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .page_lines import weak_labels
-from .sample import in_share, share_of, slices
+from . import main_content
+from .page_lines import page_labels
+from .sample import in_share, slices
 
 #: Pages of the training sample, about: those looked at for a trusted sign,
 #: and those of them taken as unlabelled. Hashed word space.
 MOST_PAGES, MOST_UNLABELLED, BITS = 20_000, 4_000, 17
-#: Prior chance that a passage of a trusted, of another record is positive.
-TRUSTED_PRIOR, OTHER_PRIOR = 0.9, 0.02
-#: A record with no more characters than this (furniture aside) may be
-#: trusted by its status or wording.
-BRIEF = 400
+#: Chance before any word that a passage is positive: of a record with a
+#: trusted sign, of one that a status calls failed, of any other.
+SIGNED_PRIOR, FAILED_PRIOR, OTHER_PRIOR = 0.9, 0.5, 0.02
+#: Smoothing: occurrences that each word has besides.
+SMOOTH = 0.05
 
-# Marks of machine template fields and trusted wordings.
+# Marks of machine template fields, and the trusted wordings.
 FIELD = re.compile(r"\{\{[^{}\n]{1,60}\}\}|\{%[^\n]{1,60}?%\}|<%[^\n]{1,60}?%>|[$#]\{[^{}\n]{1,60}\}|%%[\w.]{1,40}?%%|@@[\w.]{1,40}?@@|\[\[[\w. ]{1,40}\]\]|\[%[^\n]{1,60}?%\]|__[A-Za-z][\w.]{0,40}?__")
 WORDING = re.compile(
-    r"this page is a placeholder|type your text here|^sample text|^coming soon|^todo\b|^default page for|nothing has been published|under construction|"
-    r"(?:enable|requires?|needs?) (?:javascript|scripts)|javascript is (?:disabled|off)|checking your browser|verify you are human|^(?:error|http) \d{3}|^\d{3} [a-z]",
+    r"this page is a placeholder|type your text here|^sample text|^replace this with your|^coming soon|^todo\b|add content for|^default page for|nothing has been published|under construction|"
+    r"(?:enable|requires?|needs?|allow|support) (?:javascript|script)|javascript is (?:disabled|off)|checking your browser|verify you are human|^(?:error|http) \d{3}|^\d{3} [a-z]",
     re.I,
 )
 _LATIN = frozenset("lorem ipsum dolor amet consectetur adipiscing elit tempor incididunt labore aliqua veniam nostrud exercitation ullamco".split())
 
+#: Log odds by which a line that looks like furniture must be residue.
+DOUBT = 3.0
+#: Weight of a character of a genuine heading beside one of a sentence.
+HEADING = 0.2
+
+_ENDS = frozenset(".;:!?,")
 _EDGES = ".,;:!?()[]{}\"'“”‘’«»*•-_/|#>"
 _CUT = re.compile(r"[.!?:]\s+|\((?=[A-Z])")
 _SIZE = 1 << BITS
@@ -52,130 +62,228 @@ class _Ids(dict):
 
         if len(self) > 400_000:
             self.clear()
-        key = word if word.startswith("<field") else word.strip(_EDGES).lower()
+        key = word if word.startswith(("<field", "<of")) else word.strip(_EDGES).lower()
         key = "#" if key[:1].isdigit() or key[:1] in "§$" and key else key
         value = self[word] = xxhash.xxh32_intdigest(key, 5) & (_SIZE - 1) if key else -1
         return value
 
 
-def passages(text: str) -> list[str]:
-    """Sentences of the lines that are no site furniture, fields marked."""
-    lines = text.replace("\r", "").split("\n")
-    body = [x.strip() for x, s in zip(lines, weak_labels(lines)) if s == 0]
-    out = []
-    for line in body:
+#: A passage: its text and what its line is.
+SENTENCE, TITLE, FURNITURE, COUNT = range(4)
+Passage = tuple[str, int]
+
+
+def passages(lines: list[tuple[str, bool]]) -> list[Passage]:
+    """Sentences of a record's lines (line, whether it is site furniture),
+    fields marked; how many fields it has is a passage of its own, and of how many
+    passages a record is (in powers of two) is a word of each."""
+    out: list[Passage] = []
+    for line, aside in lines:
         if any(c in line for c in "{}<%@[_"):
             line = FIELD.sub(" <field> ", line)
-        out += [s for s in _CUT.split(line) if s.strip()]
-    count = sum(p.count("<field>") for p in out)
-    if count:  # how many fields a record has is a passage of its own
-        out.append(f"<fields{min(count, 3)}>")
+        kind = FURNITURE if aside else SENTENCE if line[-1:] in _ENDS else TITLE
+        out += [(s, kind) for s in _CUT.split(line) if s.strip()]
+    own = sum(kind != FURNITURE for _, kind in out)
+    count = sum(p.count("<field>") for p, _ in out)
+    out = [(p if kind == FURNITURE else f"{p} <of{own.bit_length()}>", kind) for p, kind in out]
+    if count:
+        out.append((f"<fields{min(count, 3)}>", COUNT))
     return out
 
 
-def trusted(parts: list[str], failed: bool) -> bool:
-    """Whether a record's passages make it a trusted positive."""
-    if sum(p.count("<field>") for p in parts) >= 3:
+def bodies(texts: list[str | None], model: main_content.Model) -> tuple[list[list[Passage]], list[tuple[list[int], np.ndarray]]]:
+    """(passages of each text, numbers and states of its lines)."""
+    found = main_content.states(texts, model)
+    parts = []
+    for t, (at, s) in zip(texts, found):
+        lines = t.split("\n") if t else []
+        parts.append(passages([(lines[i].replace("\r", "").strip(), bool(x)) for i, x in zip(at, s)]))
+    return parts, found
+
+
+def signed(parts: list[Passage]) -> bool:
+    """Whether a training record carries a trusted sign: three machine fields,
+    six filler words, or a trusted wording in half of its own passages."""
+    if parts and parts[-1][0] == "<fields3>":
         return True
-    words = [w for p in parts[:6] for w in p.lower().split()[:30]]
-    if sum(w.strip(".,") in _LATIN for w in words) >= 6:
+    if sum(w.strip(".,").lower() in _LATIN for p, _ in parts for w in p.split()) >= 6:
         return True
-    return bool(parts) and sum(map(len, parts)) <= BRIEF and (failed or any(WORDING.search(p) for p in parts))
-
-
-def _features(records: list[list[str]], ids: _Ids):
-    """(word places, passage of each, record of each passage, length of each)."""
-    words, owner, size = [], [], []
-    for i, parts in enumerate(records):
-        for p in parts:
-            w = set(map(ids.__getitem__, p.split()))
-            w.discard(-1)
-            if w:
-                words.append(w)
-                owner.append(i)
-                size.append(0 if p.startswith("<fields") else len(p))
-    flat = np.fromiter(chain.from_iterable(words), np.int64)
-    at = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64)) if words else np.zeros(0, np.int64)
-    return flat, at, np.array(owner, np.int64), np.array(size, np.int64)
-
-
-def train(sure: list[list[str]], other: list[list[str]], rounds: int = 12) -> np.ndarray:
-    """Log odds of each word place, by EM; the last entry is the passage bias
-    of an unlabelled record."""
-    ids = _Ids()
-    flat, at, owner, size = _features([*sure, *other], ids)
-    count = len(owner)
-    first = owner < len(sure)
-    # What long records without a trusted sign say is reliably genuine.
-    genuine = ~first & (np.bincount(owner, size, len(sure) + len(other)) > BRIEF)[owner]
-    base = np.where(first, np.log(TRUSTED_PRIOR / (1 - TRUSTED_PRIOR)), np.log(OTHER_PRIOR / (1 - OTHER_PRIOR)))
-    post = np.where(first, TRUSTED_PRIOR, np.where(genuine, 0.0, OTHER_PRIOR))
-    odds = np.zeros(_SIZE)
-    for _ in range(rounds if count else 0):
-        pos, neg = post, 1 - post
-        one, zero = np.bincount(flat, pos[at], _SIZE), np.bincount(flat, neg[at], _SIZE)
-        odds = np.log((one + 0.05) / (pos.sum() + 1)) - np.log((zero + 0.05) / (neg.sum() + 1))
+    own = [p for p, kind in parts if kind != FURNITURE]
+    return 2 * sum(bool(WORDING.search(p)) for p in own) >= len(own) > 0
+
+
+class Words:
+    """Word places of the passages of several records, flat."""
+
+    def __init__(self, records: list[list[Passage]], ids: _Ids):
+        words, owner, size, kinds = [], [], [], []
+        for i, parts in enumerate(records):
+            for p, kind in parts:
+                w = set(map(ids.__getitem__, p.split()))
+                w.discard(-1)
+                if w:
+                    words.append(w)
+                    owner.append(i)
+                    size.append(0 if kind == COUNT else len(p) if kind == FURNITURE else p.rfind(" <of"))
+                    kinds.append(kind)
+        self.records, self.count = len(records), len(words)
+        self.flat = np.fromiter(chain.from_iterable(words), np.int64)
+        self.at = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64)) if words else np.zeros(0, np.int64)
+        self.owner, self.size, self.kind = np.array(owner, np.int64), np.array(size, float), np.array(kinds, np.int64)
+
+    def odds(self, weights: np.ndarray) -> np.ndarray:
+        """Log odds of each passage that it is positive; of furniture, that
+        it is so beyond doubt."""
+        return np.bincount(self.at, weights[self.flat], self.count) - np.where(self.kind == FURNITURE, DOUBT, 0.0)
+
+    def decided(self, good: np.ndarray) -> np.ndarray:
+        """Records of which at least half of the characters or most passages
+        are positive (good), or whose count of fields is. A genuine heading
+        weighs less than a sentence, furniture only if it is positive."""
+        add = lambda x: np.bincount(self.owner, x, self.records)
+        one = np.select([good & (self.kind != COUNT), self.kind == SENTENCE, self.kind == TITLE], [1.0, 1.0, HEADING], 0.0)
+        bad = add(one * good)
+        return ((bad > 0) & ((2 * bad > add(one)) | (2 * add(one * good * self.size) >= add(one * self.size)))) | (add(good & (self.kind == COUNT)) > 0)
+
+
+def train(records: list[list[Passage]], prior: np.ndarray, weight: np.ndarray, settled: float = 1e-3, most_rounds: int = 200) -> np.ndarray:
+    """Log odds of each word place, by EM until no posterior moves by more
+    than `settled`; the last entry is the bias of a passage of any record.
+
+    prior: chance of each record's passages before any word; weight: records
+    of the collection that it stands for. Furniture has the chance of any
+    record. What a record says that is genuine as a whole is genuine: the
+    passages of a record decided so count as negative, if it has no sign.
+    """
+    d, odds = Words(records, _Ids()), np.zeros(_SIZE)
+    other = np.log(OTHER_PRIOR / (1 - OTHER_PRIOR))
+    if not d.count:
+        return np.append(odds, other)
+    first = np.where(d.kind == FURNITURE, OTHER_PRIOR, prior[d.owner])
+    base, post = np.log(first / (1 - first)), first
+    sure = (prior >= SIGNED_PRIOR)[d.owner]
+    w, held = weight[d.owner], np.zeros(d.count, bool)
+    for round_ in range(most_rounds):
+        one, zero = np.bincount(d.flat, (w * post)[d.at], _SIZE), np.bincount(d.flat, (w * (1 - post))[d.at], _SIZE)
+        odds = np.log((one + SMOOTH) / ((w * post).sum() + 1)) - np.log((zero + SMOOTH) / ((w * (1 - post)).sum() + 1))
         odds[(one + zero) < 1.5] = 0
-        post_new = 1 / (1 + np.exp(-np.clip(np.bincount(at, odds[flat], count) + base, -40, 40)))
-        post_new[genuine] = 0.0
-        if np.abs(post_new - post).max() < 1e-3:
-            break
-        post = post_new
-    return np.append(odds, np.log(OTHER_PRIOR / (1 - OTHER_PRIOR)))
-
-
-def decide(records: list[list[str]], odds: np.ndarray, ids: _Ids) -> np.ndarray:
-    """True for each record to be left out: at least half of its characters
-    are in positive passages (or any passage is, if it is brief and of a
-    trusted wording), or its count of fields is. No passage: False."""
-    flat, at, owner, size = _features(records, ids)
-    n = len(records)
-    sure = np.fromiter((trusted(p, False) for p in records), bool, n)
-    bias = np.where(sure, np.log(TRUSTED_PRIOR / (1 - TRUSTED_PRIOR)), odds[-1])
-    good = np.bincount(at, odds[flat], len(owner)) + bias[owner] > 0
-    whole, bad = np.bincount(owner, size, n), np.bincount(owner, size * good, n)
-    some = sure & (whole <= BRIEF) & (np.bincount(owner, good, n) > 0)
-    return ((whole > 0) & (2 * bad >= whole)) | some | (np.bincount(owner, good & (size == 0), n) > 0)
-
-
-def fit(pages: DataFrame, key: str, text: str, failed: DataFrame) -> np.ndarray:
-    """Train on a bounded sample, by the hash of the key: of about MOST_PAGES
-    pages those that the statuses call failed or that carry a trusted sign,
-    and about MOST_UNLABELLED others. Only these texts reach the driver.
+        seen = d.odds(odds)
+        new = 1 / (1 + np.exp(-np.clip(seen + base, -40, 40)))
+        plain = ~(sure | d.decided(seen + base > 0)[d.owner])
+        held = held | plain if round_ >= 20 else plain  # from then on what was genuine stays so, so it settles
+        new[held] = 0.0
+        moved = np.abs(new - post).max()
+        post = new
+        if moved < settled:
+            return np.append(odds, other)
+    warnings.warn(f"the estimates moved by {moved:.4f} in the last of {most_rounds} rounds", RuntimeWarning, stacklevel=2)
+    return np.append(odds, other)
+
+
+def decide(records: list[list[Passage]], odds: np.ndarray, ids: _Ids) -> np.ndarray:
+    """True for each record to be left out; without passages False."""
+    d = Words(records, ids)
+    return d.decided(d.odds(odds) + odds[-1] > 0) if d.count else np.zeros(len(records), bool)
+
+
+class PageModel(NamedTuple):
+    """What tells furniture from main content, and residue from content."""
+
+    lines: main_content.Model
+    odds: np.ndarray
+
+
+def _line_sample(df: DataFrame, key: str, text: str, share: float) -> list[list[str]]:
+    some = df.where(F.col(key).isNotNull() & in_share(F.col(key), share) & F.length(text).between(1, main_content.LONGEST))
+    return [r[1].split("\n") for r in sorted(some.select(key, text).collect())]
+
+
+def fit(pages: DataFrame, key: str, text: str, failed: DataFrame, others: DataFrame | None = None) -> PageModel:
+    """Train on bounded samples, by the hash of the key, the same on every run.
+
+    The line model: about main_content.MOST_PAGES of pages and others (key,
+    text), and half as many pages with a trusted sign, which have no furniture
+    but around it. The residue model: of about MOST_PAGES pages those that the
+    statuses call failed or that carry a trusted sign, and about
+    MOST_UNLABELLED of any kind. Texts beyond main_content.LONGEST characters
+    train nothing, so the sample is bounded in bytes too; all are scored.
 
     failed: the keys that some status calls failed (repeats don't matter).
     """
-    bad = failed.where(F.col(key).isNotNull()).select(key).distinct().withColumn("__bad", F.lit(True))
-    share = share_of(pages, key, MOST_PAGES)
-    rows = pages.where(F.col(key).isNotNull() & in_share(F.col(key), share)).where(F.length(text) > 0).select(key, text)
-    hint = F.col(text).rlike(r"\{\{|\{%|<%|[$#]\{|%%\w|@@\w|\[\[|__[A-Za-z]|(?i)lorem ipsum|placeholder|javascript|scripts|browser|type your text|sample text|default page")
-    brief = F.length(text) < 3 * BRIEF
-    some = rows.join(bad.where(in_share(F.col(key), share)), key, "left").where(hint | (F.col("__bad") & brief))
-    some = some.select(text, F.coalesce("__bad", F.lit(False))).collect()
-    plain = rows.where(in_share(F.col(key), share * MOST_UNLABELLED / MOST_PAGES if share < 1 else share_of(pages, key, MOST_UNLABELLED))).select(text).collect()
-    sure, other = [], []
-    for t, b in some:
-        parts = passages(t)
-        (sure if trusted(parts, b) else other).append(parts)
-    other += [parts for (t,) in plain if (parts := passages(t)) and not trusted(parts, False)]
-    return train(sure, other)
-
-
-def _detect(batches, text: str, out: str, model):
-    odds, ids = model.value, _Ids()
+    n = max(pages.where(F.col(key).isNotNull()).count(), 1)
+    more = others.where(F.col(key).isNotNull()).count() if others is not None else 0
+    share, plain = min(1.0, MOST_PAGES / n), min(1.0, MOST_UNLABELLED / n)
+    line_share = min(1.0, main_content.MOST_PAGES / (n + more))
+    bad = failed.where(F.col(key).isNotNull() & in_share(F.col(key), share)).select(key).distinct().withColumn("__bad", F.lit(True))
+    rows = pages.where(F.col(key).isNotNull() & in_share(F.col(key), share)).where(F.length(text).between(1, main_content.LONGEST)).select(key, text)
+    hint = F.col(text).rlike(r"\{\{|\{%|<%|[$#]\{|%%\w|@@\w|\[[\[%]|__[A-Za-z]|(?i)lorem|ipsum|" + WORDING.pattern.replace("^", r"(?m)^\s*"))
+    rows = rows.join(bad, key, "left").where(hint | F.col("__bad") | in_share(F.col(key), plain))
+    rows = rows.select(key, text, F.coalesce("__bad", F.lit(False)).alias("__bad"), in_share(F.col(key), plain).alias("__plain"), in_share(F.col(key), line_share).alias("__line"))
+    rows = sorted(rows.collect())
+
+    sample = [r[1].split("\n") for r in rows if r["__line"]]
+    if others is not None:
+        sample += _line_sample(others, key, text, line_share)
+    marked = []
+    for r in rows:
+        lines = r[1].split("\n")
+        if not r["__line"] and signed(passages([(x.replace("\r", "").strip(), False) for x, s in zip(lines, page_labels(lines)) if s == 0])):
+            marked.append(lines)
+    sample += marked[: main_content.MOST_PAGES // 2]
+    model = main_content.fit_pages(sample)
+
+    parts, _ = bodies([r[1] for r in rows], model)
+    records, prior, weight = [], [], []
+    for r, p in zip(rows, parts):
+        if signed(p) or r["__bad"]:
+            records.append(p)
+            prior.append(SIGNED_PRIOR if signed(p) else FAILED_PRIOR)
+            weight.append(1.0)
+        elif r["__plain"]:
+            records.append(p)
+            prior.append(OTHER_PRIOR)
+            weight.append(share / plain)
+    return PageModel(model, train(records, np.array(prior), np.array(weight)))
+
+
+def _read(batches, text: str, judged: str | None, keep: list[str], lines: bool, model):
+    """Of each batch the residue flags, or the furniture lines of what is none."""
+    shared, ids = model.value, _Ids()
     for b in slices(batches):
         texts = b.column(b.schema.get_field_index(text)).to_pylist()
-        found = decide([passages(t) if t else [] for t in texts], odds, ids)
-        yield b.drop_columns([text]).append_column(out, pa.array(found))
+        parts, found = bodies(texts, shared.lines)
+        bad = decide(parts, shared.odds, ids)
+        if judged:
+            bad &= np.array(b.column(b.schema.get_field_index(judged)).to_pylist(), bool)
+        kept = b.select(keep)
+        if not lines:
+            yield kept.append_column("is_residue", pa.array(bad))
+            continue
+        aside = [[] if x else [i + 1 for i, k in zip(at, s) if k > 0] for x, (at, s) in zip(bad, found)]
+        rows = np.repeat(np.arange(len(texts)), list(map(len, aside)))
+        kept = kept.take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([x for a in aside for x in a], pa.int32())], names=[*keep, "line_no"])
 
 
-def residue(pages: DataFrame, text: str, model: np.ndarray, out: str = "is_residue") -> DataFrame:
-    """pages with, in place of text, whether it is no genuine content. Null,
-    empty and blank texts, and texts of furniture only, are False. Whole texts
-    are read in Arrow batches, without a shuffle; the model (1 MB) is
-    broadcast."""
-    if out in pages.columns and out != text:
-        raise ValueError(f"{out} exists")
+def residue(pages: DataFrame, text: str, model: PageModel, *columns: str) -> DataFrame:
+    """columns and is_residue of every page: whether it is no genuine content.
+    Null, empty and blank texts, and texts of furniture only, are False. Whole
+    texts are read in Arrow batches, without a shuffle; the model (a few MB,
+    whatever the data) is broadcast."""
+    if "is_residue" in columns:
+        raise ValueError("is_residue exists")
     shared = pages.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*(f for f in pages.schema.fields if f.name != text), T.StructField(out, T.BooleanType())])
-    return pages.mapInArrow(partial(_detect, text=text, out=out, model=shared), schema)
+    schema = T.StructType([*(pages.schema[c] for c in columns), T.StructField("is_residue", T.BooleanType())])
+    return pages.select(*columns, text).mapInArrow(partial(_read, text=text, judged=None, keep=list(columns), lines=False, model=shared), schema)
+
+
+def furniture_lines(texts: DataFrame, text: str, model: PageModel, judged: Column, *columns: str) -> DataFrame:
+    """columns and line_no (from 1, split at \\n) of each line that is not main
+    body, in one pass. Texts that are judged and found to be residue give
+    none, nor do blank lines, null and empty texts."""
+    if "line_no" in columns:
+        raise ValueError("line_no exists")
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([*(texts.schema[c] for c in columns), T.StructField("line_no", T.IntegerType())])
+    run = partial(_read, text=text, judged="__judged", keep=list(columns), lines=True, model=shared)
+    return texts.select(*columns, text, F.coalesce(judged, F.lit(False)).alias("__judged")).mapInArrow(run, schema)

@@ -102,58 +102,96 @@ def test_residue_on_held_out_pages(spark):
     good = [[say() for _ in range(rng.randrange(3, 12))] for _ in range(300)]
     for g in good[::6]:
         g.append("Letters about the levy use merge fields such as {{case_number}}, which the clerk fills in.")
-    bad = [["Error 404", "The page you are looking for may have moved.", f"Incident {i}"] for i in range(40)]
-    bad += [["Please enable JavaScript to view this page."]] * 8 + [[f"# {{{{title}}}}", "{{body}}", "By {{author}}"]] * 8
-    pages = [(f"g{i}", "\n".join(g)) for i, g in enumerate(good)] + [(f"b{i}", "\n".join(b)) for i, b in enumerate(bad)] + [("n", None), ("e", "")]
-    df = spark.createDataFrame(pages, "key string, text string")
+    sorry = ["Sorry, this page does not exist or has moved.", "Your request could not be completed by the server.", "Check the address for mistakes and try the request again.", "If the fault goes on, tell the help desk of this server."]
+    latin = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed tempor incididunt ut labore magna aliqua."
+    bad = [["Error 404", *rng.sample(sorry, 2), f"Incident {i}"] for i in range(60)] + [["Error 500", *sorry * 3] for _ in range(2)]
+    bad += [["Please enable JavaScript to view this page."]] * 8 + [["# {{title}}", "{{body}}", "By {{author}}"]] * 8
+    bad += [[latin] * 3] * 6 + [[say() for _ in range(6)] + [latin] * 12]
+    assert sum(map(len, bad[60])) > 600
+    pages = [(f"g{i}", "\n".join(g)) for i, g in enumerate(good)] + [(f"b{i}", "\n".join(b)) for i, b in enumerate(bad)] + [("n", None), ("e", ""), ("w", " \n"), (None, "Error 404")]
+    df = spark.createDataFrame(pages, "key string, text string").withColumn("is_bad", F.lit(1))
     train = df.where("key not like '%3'")
-    failed = train.where("key like 'b%'").select("key")
+    failed = train.where("key like 'b%' and key < 'b4'").select("key").unionByName(train.where("key like 'g1%'").select("key"))
     model = template_residue.fit(train, "key", "text", failed)
-    got = {r.key for r in template_residue.residue(df, "text", model).where("is_residue").collect()}
-    assert {k for k, _ in pages if k.startswith("b")} <= got and not [k for k in got if not k.startswith("b")]
-    none = template_residue.fit(df.limit(0), "key", "text", failed)
-    assert template_residue.residue(df.limit(0), "text", none).count() == 0
+    got = {r.key for r in template_residue.residue(df, "text", model, "key").where("is_residue").collect()}
+    assert {k for k, _ in pages if k and k.startswith("b")} <= got and not [k for k in got if k and not k.startswith("b")]
+    # Signs only start the training: without any at scoring it is the same.
+    parts, _ = template_residue.bodies([t for _, t in pages], model.lines)
+    assert {k for (k, _), x in zip(pages, template_residue.decide(parts, model.odds, template_residue._Ids())) if x} == got
+    none = template_residue.fit(df.limit(0), "key", "text", failed, df.limit(0))
+    assert template_residue.residue(df.limit(0), "text", none, "key").count() == 0
+    with pytest.raises(ValueError):
+        template_residue.residue(df.withColumn("is_residue", F.lit(1)), "text", none, "is_residue")
 
 
 # -- 4: main content --------------------------------------------------------
-PAGE = """Home | News | Permits
-We use cookies on www.x.example. By staying on this page you agree.
-Home / Town / Some page about permits
-Posted by Ann Lee on 2024-01-02
-
-Section 4. Fees for annual permits and orders
-%s
-- Item 3: approve the annual order, zoning map, Hill
-Related pages
-- Annual permit for the river bridge and market
-- Order of the school council in Hill
-%s
-Share this page: Email | Print | Copy link
-© 2024 Town of X. All rights reserved."""
+def site_page(rng, i, phrase):
+    say = lambda n: " ".join(f"The {rng.choice(WORDS)} board shall {rng.choice(['file', 'post', 'amend'])} the {rng.choice(WORDS)} permit within {rng.randrange(90)} days of the {rng.choice(WORDS)} notice." for _ in range(n))
+    name = lambda: f"{rng.choice(WORDS).title()} {rng.choice(WORDS)} for the {rng.choice(WORDS)} {rng.choice(WORDS)}"
+    page = [("Home | News | Permits", 1), (f"Home > Town > {name()}", 1), (f"Posted by Ann Lee on 2024-01-{i % 28 + 1:02d}", 1), ("", 0)]
+    page += [(f"Section {rng.randrange(90)}. {name()}", 0), (say(rng.randrange(1, 5)), 0), (f"- Item {rng.randrange(9)}: approve the {name()}, Hill", 0), (say(2), 0)]
+    page += [("Related pages", 1), (f"- {name()}", 1), (f"- {name()}", 1)] if i % 3 == 0 else []
+    return page + [(phrase, 1), ("Share this page: Email | Print | Copy link", 1), (f"© {2000 + i % 25} Town of X. All rights reserved.", 1)]
 
 
 def test_main_content(spark):
-    prose = "The board shall post the annual permit within ninety days of the notice and keep a copy of the record for each party in the manner used for civil actions. " * 2
-    text = PAGE % (prose, prose)
-    df = spark.createDataFrame([(f"k{i}", text) for i in range(30)] + [("n", None), ("e", ""), ("b", " \n ")], "key string, text string")
-    model = main_content.fit(df, "key", "text")
-    got = {r.line_no for r in main_content.furniture_lines(df, "text", model, "key").where("key = 'k3'").collect()}
-    assert got == {1, 2, 3, 4, 9, 10, 11, 13, 14}
-    assert {r.key for r in main_content.furniture_lines(df, "text", model, "key").select("key").distinct().collect()} == {f"k{i}" for i in range(30)}
+    """Held-out pages; a notice longer than any other line and in no list is
+    found, as it repeats over the training pages; null, empty and blank texts
+    give no line; texts judged residue give none."""
+    rng = random.Random(8)
+    phrase = "Visitors are asked to note that the clerk keeps visit counts of each reader for as long as the archive stands, and that whoever reads on is taken to have heard of this, to be content with it, and to want no other word about it from the clerk or from the town."
+    assert not page_lines.kind_of(phrase) and len(phrase) > 170
+    pages = [site_page(rng, i, phrase) for i in range(260)]
+    rows = [(f"k{i}", "\n".join(x for x, _ in p)) for i, p in enumerate(pages)]
+    df = spark.createDataFrame([*rows, ("n", None), ("e", ""), ("b", " \n "), (None, "Menu")], "key string, text string").withColumn("n", F.lit(0))
+    model = template_residue.fit(df.where("substr(key, -1) <> '7'"), "key", "text", df.limit(0).select("key"))
+    got = {(r.key, r.line_no) for r in template_residue.furniture_lines(df, "text", model, F.col("key") == "b", "key").collect()}
+    want = {(f"k{i}", n + 1) for i, p in enumerate(pages) for n, (x, y) in enumerate(p) if y}
+    held = lambda s: {x for x in s if x[0] and x[0][-1] == "7"}
+    assert len(held(got & want)) >= 0.98 * len(held(want)) and len(held(got) - want) <= 0.02 * len(held(want))
+    assert {n for k, n in got if k == "k7"} == {n for k, n in want if k == "k7"}
+    assert not {k for k, _ in got} & {"n", "e", "b"}
+    assert template_residue.furniture_lines(df.limit(0), "text", model, F.lit(True), "key").count() == 0
+    # Labels by hand go before those by wordings.
+    lines = [[x for x, _ in p] for p in pages[:200]]
+    model = main_content.fit_pages(lines, [[y if x else -1 for x, y in p] for p in pages[:200]])
+    at, states = main_content.states(["\n".join(x for x, _ in pages[203])], model)[0]
+    assert [n + 1 for n, s in zip(at, states) if s] == sorted(n for k, n in want if k == "k203")
 
 
 def test_viterbi_is_exhaustive_search():
     rng = np.random.default_rng(4)
     w, t = rng.normal(size=(main_content.FEATURES, 3)), rng.normal(size=(3, 3))
-    pages = [[sorted(rng.integers(0, main_content.FEATURES, 4).tolist()) for _ in range(n)] for n in (1, 4, 0, 5)]
+    some = lambda: rng.choice(main_content.FEATURES, 4, replace=False).tolist()
+    pages = [[(some(), some()) for _ in range(n)] for n in (1, 4, 0, 5)]
     for page, got in zip(pages, main_content.viterbi(pages, w, t)):
         def total(path):
-            return sum(w[f, s].sum() for f, s in zip(page, path)) + sum(t[a, b] for a, b in zip(path, path[1:]))
+            return sum(w[a, s].sum() / 2 + w[b, s].sum() / 2 for (a, b), s in zip(page, path)) + sum(t[a, b] for a, b in zip(path, path[1:]))
 
         if page:
             assert tuple(got) == max(itertools.product(range(3), repeat=len(page)), key=total)
 
 
+def test_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    pages = [[([int(x) for x in rng.integers(0, 9, 2)], [9]) for _ in range(n)] for n in (3, 1, 4)]
+    d = main_content.Lines(pages)
+    w, t, y = rng.normal(size=(main_content.FEATURES, 3)), rng.normal(size=(3, 3)), rng.integers(0, 3, 8)
+
+    def likelihood(t):
+        e, out = d.emissions(w), 0.0
+        for at, n in zip(d.start, d.sizes):
+            score = lambda p: sum(e[at + i, s] for i, s in enumerate(p)) + sum(t[a, b] for a, b in zip(p, p[1:]))
+            out += score(y[at : at + n]) - np.log(sum(np.exp(score(p)) for p in itertools.product(range(3), repeat=int(n))))
+        return out
+
+    _, moves = main_content._gradient(d, y, w, t)
+    for a, b in itertools.product(range(3), repeat=2):
+        step = np.zeros((3, 3))
+        step[a, b] = 1e-5
+        assert abs((likelihood(t + step) - likelihood(t - step)) / 2e-5 - moves[a, b]) < 1e-5
+
+
 def test_line_kinds():
     assert page_lines.kind_of("Skip\xa0to  main content") == "top" and page_lines.kind_of("Subscribe to the X bulletin") == "share"
     assert page_lines.is_menu("- Home") and page_lines.is_menu("Jobs   News   Maps") and not page_lines.is_menu("The town hall is closed.")
