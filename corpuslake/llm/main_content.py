@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .page_lines import FEATURES, page_features, page_labels, repeated_lines
+from .page_lines import FEATURES, Lines, page_labels, repeated_lines
 
 #: States: main content, furniture, box of links. Training pages at most, and
 #: at most so many characters of each (longer ones train no model but are
@@ -21,35 +21,17 @@ STATES, MOST_PAGES, LONGEST = 3, 1_500, 20_000
 Model = tuple[np.ndarray, np.ndarray]
 
 
-class Lines:
-    """Features of the lines of several pages, flat, for steps over all pages
-    at once."""
-
-    def __init__(self, pages: list[list[tuple[list[int], list[int]]]]):
-        flat = [f for p in pages for f in p]
-        self.sizes = np.array([len(p) for p in pages], np.int64)
-        self.start = np.concatenate(([0], np.cumsum(self.sizes)[:-1])).astype(np.int64)
-        self.count = len(flat)
-        w, o = [len(a) for a, _ in flat], [len(b) for _, b in flat]
-        lens = np.fromiter((x for pair in zip(w, o) for x in pair), np.int64, 2 * len(flat))
-        self.ids = np.fromiter((x for a, b in flat for part in (a, b) for x in part), np.int64, int(lens.sum()))
-        # Words of a line weigh 1/sqrt of their number, so long lines don't shout.
-        value = np.empty(2 * len(flat))
-        value[0::2] = 1 / np.sqrt(np.maximum(w, 1))
-        value[1::2] = 0.5
-        self.value = np.repeat(value, lens)
-        self.line = np.repeat(np.repeat(np.arange(len(flat)), 2), lens)
-        self.order = np.argsort(-self.sizes, kind="stable")
-
-    def emissions(self, weights: np.ndarray) -> np.ndarray:
-        e = np.empty((self.count, STATES))
-        for s in range(STATES):
-            e[:, s] = np.bincount(self.line, weights[self.ids, s] * self.value, self.count)
-        return e
-
-    def live(self, k: int) -> np.ndarray:
-        """Pages with more than k lines."""
-        return self.order[: int((self.sizes > k).sum())]
+def _emissions(d: Lines, weights: np.ndarray) -> np.ndarray:
+    """Score of each state of each line; that of main content is 0, the others
+    are told against it."""
+    e = np.zeros((d.count, STATES))
+    for s in range(1, STATES):
+        e[:, s] = np.bincount(d.line, weights[d.ids, s] * d.value, d.count)
+    return e
+
+
+def _blank(line: str) -> bool:
+    return not line.replace("\xa0", " ").strip()
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -60,7 +42,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 def _gradient(d: Lines, y: np.ndarray, w: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradient of the conditional log-likelihood: (of emissions, of moves).
     Forward and backward sums, all pages of the batch stepping together."""
-    e = d.emissions(w)
+    e = _emissions(d, w)
     fwd, bwd = e.copy(), np.zeros_like(e)
     longest = int(d.sizes.max())
     for k in range(1, longest):
@@ -85,25 +67,22 @@ def train(pages: list[list[str]], labels: list[list[int]], epochs: int = 14, bat
     """Weights (features x states) and moves by Adam on the conditional
     likelihood. labels: a state for each line, -1 for blank. The same on every
     run."""
-    data = []
-    for lines, lab in zip(pages, labels):
-        at, feats = page_features(lines)
-        if at:
-            data.append((feats, [max(0, lab[i]) for i in at]))
+    data = [(p, [max(0, x) for line, x in zip(p, lab) if not _blank(line)]) for p, lab in zip(pages, labels)]
+    data = [x for x in data if x[1]]
     w, t = np.zeros((FEATURES, STATES)), np.zeros((STATES, STATES))
     if not data:
         return w, t
     mix = np.random.default_rng(5).permutation(len(data))
     parts = [[data[i] for i in mix[a : a + batch]] for a in range(0, len(data), batch)]
-    parts = [(Lines([f for f, _ in p]), np.array([s for _, y in p for s in y])) for p in parts]
+    parts = [(Lines([p for p, _ in part]), np.array([s for _, y in part for s in y])) for part in parts]
     mw, vw, mt, vt = np.zeros_like(w), np.zeros_like(w), np.zeros_like(t), np.zeros_like(t)
     step, steps = 0, epochs * len(parts)
     for _ in range(epochs):
         for d, y in parts:
             step += 1
             gap, moves = _gradient(d, y, w, t)
-            g = np.empty_like(w)
-            for s in range(STATES):
+            g = np.zeros_like(w)
+            for s in range(1, STATES):
                 g[:, s] = np.bincount(d.ids, gap[d.line, s] * d.value, FEATURES)
             scale = 1 / len(d.sizes)
             lr = rate * (1 - step / (steps + 1))
@@ -116,15 +95,13 @@ def train(pages: list[list[str]], labels: list[list[int]], epochs: int = 14, bat
     return w.astype(np.float32), t
 
 
-def viterbi(pages: list[list[tuple[list[int], list[int]]]], weights: np.ndarray, moves: np.ndarray) -> list[np.ndarray]:
-    """Best states of each page's lines; all pages of a batch step together."""
-    full = [p for p in pages if p]
-    if not full:
-        return [np.zeros(0, np.int64) for _ in pages]
-    d = Lines(full)
-    e, start = d.emissions(weights), d.start
+def viterbi(d: Lines, weights: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Best state of each line; all pages of the batch step together."""
+    if not d.count:
+        return np.zeros(0, np.int64)
+    e, start = _emissions(d, weights), d.start
     best = e[start].copy()
-    back = np.zeros((len(e), STATES), np.int8)
+    back = np.zeros((d.count, STATES), np.int8)
     longest = int(d.sizes.max())
     for k in range(1, longest):
         live = d.live(k)
@@ -132,20 +109,13 @@ def viterbi(pages: list[list[tuple[list[int], list[int]]]], weights: np.ndarray,
         back[start[live] + k] = reach.argmax(axis=1)
         best[live] = reach.max(axis=1) + e[start[live] + k]
     state = best.argmax(axis=1)
-    out = np.zeros(len(e), np.int64)
+    out = np.zeros(d.count, np.int64)
     for k in range(longest - 1, -1, -1):
         live = d.live(k)
         out[start[live] + k] = state[live]
         if k:
             state[live] = back[start[live] + k, state[live]]
-    pieces = iter(np.split(out, start[1:]))
-    return [next(pieces) if p else np.zeros(0, np.int64) for p in pages]
-
-
-def states(texts: list[str | None], model: Model) -> list[tuple[list[int], np.ndarray]]:
-    """(numbers from 0 of the lines that aren't blank, their states) of each text."""
-    found = [page_features(t.split("\n")) if t else ([], []) for t in texts]
-    return [(at, s) for (at, _), s in zip(found, viterbi([f for _, f in found], *model))]
+    return out
 
 
 def fit_pages(pages: list[list[str]], labels: list[list[int]] | None = None) -> Model:

@@ -13,6 +13,8 @@ import re
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
+
 # Wordings by which sites mark what is not their main content,
 # one alternative for each kind. Labels of training pages only.
 KINDS: dict[str, str] = {
@@ -151,6 +153,10 @@ def page_labels(lines: list[str], repeated: set[str] | frozenset[str] = frozense
 
 # ---- Features -------------------------------------------------------------
 
+# Marks of machine template fields.
+FIELD = re.compile(r"\{\{[^{}\n]{1,60}\}\}|\{%[^\n]{1,60}?%\}|<%[^\n]{1,60}?%>|[$#]\{[^{}\n]{1,60}\}|%%[\w.]{1,40}?%%|@@[\w.]{1,40}?@@|\[\[[\w. ]{1,40}\]\]|\[%[^\n]{1,60}?%\]|__[A-Za-z][\w.]{0,40}?__")
+_FIELD_SIGN = re.compile(r"[{<%@\[]|__")
+
 #: Places of the hashed words, then the shapes.
 WORD_BITS = 15
 WORDS = 1 << WORD_BITS
@@ -165,34 +171,46 @@ SHAPES = len(_SHAPES)
 #: Own words and shapes, the line before's and the line after's shapes and
 #: first words, then the place in the page.
 EDGE_BITS = 10
-FEATURES = WORDS + 3 * SHAPES + 2 * (1 << EDGE_BITS) + 8
-_STRIP = ".,;:!?()[]{}\"'“”‘’«»*"
+PLACES = 8
+FEATURES = WORDS + 3 * SHAPES + 2 * (1 << EDGE_BITS) + PLACES
 _CUTS = ("|", "/", ">", "»", "::", "·", "•", " - ", "  ")
+_EDGES = ".,;:!?()[]{}\"'“”‘’«»*•-_/|#>"
+
+#: A token's value: 32 bits for the line field, then for the residue classes
+#: the place of its word from 1 (0: no word), then flags.
+RESIDUE_BITS = 17
+_ENDS, _OPENS, _IS_FIELD = 1 << 50, 1 << 51, 1 << 52
 
 
-def _hash(word: str, seed: int, bits: int) -> int:
+def residue_place(word: str) -> int:
+    """Place of a word in the residue model's hashed space."""
     import xxhash
 
-    return xxhash.xxh32_intdigest(word, seed) & ((1 << bits) - 1)
+    return xxhash.xxh32_intdigest(word, 5) & ((1 << RESIDUE_BITS) - 1)
 
 
 class _Tokens(dict):
-    """token as written -> place of its word (case and edge signs aside, a
-    number is '#'); emptied when large."""
+    """token as written -> its value. Words are told case and edge signs
+    aside, a number is '#'. Emptied when large."""
 
     def __missing__(self, token: str) -> int:
+        import xxhash
+
         if len(self) > 300_000:
             self.clear()
-        word = token.strip(_STRIP).lower()
-        word = "#" if word[:1].isdigit() or word[:1] in ("$", "§") and word else word or token
-        value = self[token] = _hash(word, 11, 32)
+        if token == "<field>":
+            word, flags = token, _IS_FIELD
+        else:
+            word = token.strip(_EDGES).lower()
+            word = "#" if word[:1].isdigit() or word[:1] in ("$", "§") and word else word
+            flags = (_ENDS if token[-1] in ".!?:" else 0) | (_OPENS if token[0] == "(" and token[1:2].isupper() else 0)
+        value = self[token] = xxhash.xxh32_intdigest(word or token, 11) | (residue_place(word) + 1 if word else 0) << 32 | flags
         return value
 
 
 _TOKENS = _Tokens()
 
 
-@lru_cache(50_000)
 def _shapes(line: str) -> tuple[int, ...]:
     """Shape places of a line whose ends are trimmed."""
     out = [_AT[f"len{min(11, len(line).bit_length())}"]]
@@ -208,12 +226,11 @@ def _shapes(line: str) -> tuple[int, ...]:
         add("numbered")
     if "$" in bare:
         add("money")
-    letters = sum(map(str.isalpha, bare)) if len(bare) < 400 else len(bare)
-    if letters and bare.isupper():
+    if bare.isupper():
         add("upper")
     elif bare.istitle():
         add("titled")
-    if 2 * letters < len(bare):
+    if len(bare) < 80 and 2 * sum(map(str.isalpha, bare)) < len(bare):
         add("few_letters")
     first = bare[:1]
     add("lower_first" if first.islower() else "digit_first" if first.isdigit() else "sign_first") if first and not first.isupper() else None
@@ -229,44 +246,81 @@ def _shapes(line: str) -> tuple[int, ...]:
     return tuple(out)
 
 
-def _words(line: str) -> list[int]:
-    """32-bit values of a line's words, neighbouring words, and its first and
-    last words marked as such."""
-    t = [_TOKENS[w] for w in line.split()]
-    if not t:
-        return t
-    pairs = [((a * 0x9E3779B1) ^ (b * 0x85EBCA77)) & 0xFFFFFFFF for a, b in zip(t, t[1:])]
-    return [*t, *pairs, t[0] ^ 0x5BD1E995, t[-1] ^ 0x27D4EB2F]
-
-
-def page_features(lines: list[str]) -> tuple[list[int], list[tuple[list[int], list[int]]]]:
-    """(numbers of the lines that aren't blank, (word places, other places) of
-    each). Whole lines are read, however long."""
-    at, own, words, edge = [], [], [], []
-    shift = 32 - WORD_BITS
-    for i, raw in enumerate(lines):
-        line = raw.replace("\xa0", " ").strip()
-        if not line:
-            continue
-        at.append(i)
-        own.append(_shapes(line))
-        w = _words(line)
-        words.append(list({(x * 0x9E3779B1 & 0xFFFFFFFF) >> shift for x in w}))
-        edge.append(w[-2] >> (32 - EDGE_BITS))
-    n, out = len(at), []
-    e0 = WORDS + 3 * SHAPES
-    e1, last = e0 + (1 << EDGE_BITS), e0 + 2 * (1 << EDGE_BITS)
-    for k in range(n):
-        f = [WORDS + x for x in own[k]]
-        if k:
-            f += [WORDS + SHAPES + x for x in own[k - 1]]
-            f.append(e0 + edge[k - 1])
-        if k + 1 < n:
-            f += [WORDS + 2 * SHAPES + x for x in own[k + 1]]
-            f.append(e1 + edge[k + 1])
-        f.append(last + min(k, 3) if k < n - 4 or k < 2 else last + 4 + min(n - 1 - k, 1))
-        if at[k] and (k == 0 or at[k] - at[k - 1] > 1):
-            f.append(last + 6)  # after a blank line
-        f.append(last + 7)
-        out.append((words[k], f))
-    return at, out
+_short_shapes = lru_cache(50_000)(_shapes)
+
+
+class Lines:
+    """The lines of several pages that aren't blank, flat: features for the
+    line field, token values for the residue classes. Whole lines are read,
+    however long; machine fields are marked."""
+
+    def __init__(self, pages: list[list[str]]):
+        numbers, sizes, ends, gaps = [], [], [], []
+        shapes, per_shape, tokens, chars, per_line = [], [], [], [], []
+        for page in pages:
+            before, count = -1, 0
+            for i, raw in enumerate(page):
+                line = raw.replace("\xa0", " ").strip()
+                if not line:
+                    continue
+                if _FIELD_SIGN.search(line):
+                    line = FIELD.sub(" <field> ", line).strip()
+                own = _short_shapes(line) if len(line) < 160 else _shapes(line)
+                shapes += own
+                per_shape.append(len(own))
+                t = line.split()
+                tokens += map(_TOKENS.__getitem__, t)
+                chars += map(len, t)
+                per_line.append(len(t))
+                numbers.append(i)
+                ends.append(line[-1])
+                gaps.append(i == 0 or i - before > 1)
+                before = i
+                count += 1
+            sizes.append(count)
+        whole = lambda x: np.array(x, np.int64)
+        self.pages, self.count = len(pages), len(numbers)
+        self.numbers, self.ends = whole(numbers), ends
+        self.tokens, self.chars = whole(tokens), whole(chars)
+        self.page = np.repeat(np.arange(len(pages)), sizes)
+        self.token_line = np.repeat(np.arange(self.count), per_line)
+        self.sizes = whole([n for n in sizes if n])  # of the pages that have lines
+        self.start = np.concatenate(([0], np.cumsum(self.sizes)[:-1])).astype(np.int64) if len(self.sizes) else whole([])
+        self.order = np.argsort(-self.sizes, kind="stable")
+        if self.count:
+            self._features(whole(shapes), whole(per_shape), whole(per_line), np.array(gaps, bool))
+
+    def _features(self, shapes, per_shape, per_line, gaps) -> None:
+        line = np.arange(self.count)
+        t = (self.tokens & 0xFFFFFFFF).astype(np.uint32)
+        with np.errstate(over="ignore"):
+            pair = (t[:-1] * np.uint32(0x9E3779B1)) ^ (t[1:] * np.uint32(0x85EBCA77))
+            inside = self.token_line[:-1] == self.token_line[1:]
+            first = np.concatenate(([0], np.cumsum(per_line)[:-1]))
+            marks = np.concatenate((t, pair[inside], t[first] ^ np.uint32(0x5BD1E995), t[first + per_line - 1] ^ np.uint32(0x27D4EB2F)))
+            words = (marks * np.uint32(0x9E3779B1) >> np.uint32(32 - WORD_BITS)).astype(np.int64)
+            edge = ((t[first] * np.uint32(0x85EBCA77)) >> np.uint32(32 - EDGE_BITS)).astype(np.int64)
+        word_line = np.concatenate((self.token_line, self.token_line[:-1][inside], line, line))
+        shape_line = np.repeat(line, per_shape)
+        fresh = np.zeros(self.count + 1, bool)  # lines that begin a page
+        fresh[self.start] = fresh[-1] = True
+        follows, leads = ~fresh[:-1], ~fresh[1:]
+        place = line - np.repeat(self.start, self.sizes)
+        left = np.repeat(self.sizes, self.sizes) - 1 - place
+        e0 = WORDS + 3 * SHAPES
+        last = e0 + 2 * (1 << EDGE_BITS)
+        where = np.where((left >= 4) | (place < 2), last + np.minimum(place, 3), last + 4 + np.minimum(left, 1))
+        to_next, to_prev = leads[shape_line], follows[shape_line]
+        ids = [
+            words, WORDS + shapes, WORDS + SHAPES + shapes[to_next], WORDS + 2 * SHAPES + shapes[to_prev],
+            e0 + edge[leads], e0 + (1 << EDGE_BITS) + edge[follows], where, np.full(int(gaps.sum()), last + 6), np.full(self.count, last + 7),
+        ]
+        at = [word_line, shape_line, shape_line[to_next] + 1, shape_line[to_prev] - 1, line[leads] + 1, line[follows] - 1, line, line[gaps], line]
+        self.ids, self.line = np.concatenate(ids), np.concatenate(at)
+        # Words of a line weigh 1/sqrt of their number, so long lines don't shout.
+        weight = 1 / np.sqrt(np.bincount(word_line, minlength=self.count))
+        self.value = np.concatenate((weight[word_line], np.full(len(self.ids) - len(words), 0.5)))
+
+    def live(self, k: int) -> np.ndarray:
+        """Pages (of those with lines) with more than k lines."""
+        return self.order[: int((self.sizes > k).sum())]

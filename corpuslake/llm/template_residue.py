@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 import warnings
 from functools import partial
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -21,20 +20,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import main_content
-from .page_lines import page_labels
+from .page_lines import _ENDS, _IS_FIELD, _OPENS, FIELD, RESIDUE_BITS, Lines, page_labels, residue_place
 from .sample import in_share, slices
 
 #: Pages of the training sample, about: those looked at for a trusted sign,
-#: and those of them taken as unlabelled. Hashed word space.
-MOST_PAGES, MOST_UNLABELLED, BITS = 20_000, 4_000, 17
+#: and those of them taken as unlabelled.
+MOST_PAGES, MOST_UNLABELLED = 20_000, 4_000
 #: Chance before any word that a passage is positive: of a record with a
 #: trusted sign, of one that a status calls failed, of any other.
 SIGNED_PRIOR, FAILED_PRIOR, OTHER_PRIOR = 0.9, 0.5, 0.02
 #: Smoothing: occurrences that each word has besides.
 SMOOTH = 0.05
 
-# Marks of machine template fields, and the trusted wordings.
-FIELD = re.compile(r"\{\{[^{}\n]{1,60}\}\}|\{%[^\n]{1,60}?%\}|<%[^\n]{1,60}?%>|[$#]\{[^{}\n]{1,60}\}|%%[\w.]{1,40}?%%|@@[\w.]{1,40}?@@|\[\[[\w. ]{1,40}\]\]|\[%[^\n]{1,60}?%\]|__[A-Za-z][\w.]{0,40}?__")
+# The trusted wordings and filler words.
 WORDING = re.compile(
     r"this page is a placeholder|type your text here|^sample text|^replace this with your|^coming soon|^todo\b|add content for|^default page for|nothing has been published|under construction|"
     r"(?:enable|requires?|needs?|allow|support) (?:javascript|script)|javascript is (?:disabled|off)|checking your browser|verify you are human|^(?:error|http) \d{3}|^\d{3} [a-z]",
@@ -47,89 +45,66 @@ DOUBT = 3.0
 #: Weight of a character of a genuine heading beside one of a sentence.
 HEADING = 0.2
 
-_ENDS = frozenset(".;:!?,")
-_EDGES = ".,;:!?()[]{}\"'“”‘’«»*•-_/|#>"
+_STOPS = frozenset(".;:!?,")
 _CUT = re.compile(r"[.!?:]\s+|\((?=[A-Z])")
-_SIZE = 1 << BITS
+_SIZE = 1 << RESIDUE_BITS
+#: Places of what a record has: how many fields (1, 2, 3 and more), how many
+#: passages of its own (in powers of two).
+_FIELDS = np.array([residue_place(f"<fields{i}>") for i in range(4)])
+_PASSAGES = np.array([residue_place(f"<of{i}>") for i in range(40)])
 
-
-class _Ids(dict):
-    """token as written -> place in the hashed space of its word (without
-    punctuation around it, case aside; a number is '#'), -1 for no word."""
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) > 400_000:
-            self.clear()
-        key = word if word.startswith(("<field", "<of")) else word.strip(_EDGES).lower()
-        key = "#" if key[:1].isdigit() or key[:1] in "§$" and key else key
-        value = self[word] = xxhash.xxh32_intdigest(key, 5) & (_SIZE - 1) if key else -1
-        return value
+#: What a passage's line is; COUNT is the passage of the count of fields.
+SENTENCE, TITLE, FURNITURE, COUNT = range(4)
 
 
-#: A passage: its text and what its line is.
-SENTENCE, TITLE, FURNITURE, COUNT = range(4)
-Passage = tuple[str, int]
-
-
-def passages(lines: list[tuple[str, bool]]) -> list[Passage]:
-    """Sentences of a record's lines (line, whether it is site furniture),
-    fields marked; how many fields it has is a passage of its own, and of how many
-    passages a record is (in powers of two) is a word of each."""
-    out: list[Passage] = []
-    for line, aside in lines:
-        if any(c in line for c in "{}<%@[_"):
-            line = FIELD.sub(" <field> ", line)
-        kind = FURNITURE if aside else SENTENCE if line[-1:] in _ENDS else TITLE
-        out += [(s, kind) for s in _CUT.split(line) if s.strip()]
-    own = sum(kind != FURNITURE for _, kind in out)
-    count = sum(p.count("<field>") for p, _ in out)
-    out = [(p if kind == FURNITURE else f"{p} <of{own.bit_length()}>", kind) for p, kind in out]
-    if count:
-        out.append((f"<fields{min(count, 3)}>", COUNT))
-    return out
-
-
-def bodies(texts: list[str | None], model: main_content.Model) -> tuple[list[list[Passage]], list[tuple[list[int], np.ndarray]]]:
-    """(passages of each text, numbers and states of its lines)."""
-    found = main_content.states(texts, model)
-    parts = []
-    for t, (at, s) in zip(texts, found):
-        lines = t.split("\n") if t else []
-        parts.append(passages([(lines[i].replace("\r", "").strip(), bool(x)) for i, x in zip(at, s)]))
-    return parts, found
-
-
-def signed(parts: list[Passage]) -> bool:
-    """Whether a training record carries a trusted sign: three machine fields,
-    six filler words, or a trusted wording in half of its own passages."""
-    if parts and parts[-1][0] == "<fields3>":
+def signed(lines: list[str]) -> bool:
+    """Whether the main lines of a training record carry a trusted sign: three
+    machine fields, six filler words, or a trusted wording in half of its
+    passages."""
+    if sum(len(FIELD.findall(x)) for x in lines) >= 3:
         return True
-    if sum(w.strip(".,").lower() in _LATIN for p, _ in parts for w in p.split()) >= 6:
+    if sum(w.strip(".,").lower() in _LATIN for x in lines for w in x.split()) >= 6:
         return True
-    own = [p for p, kind in parts if kind != FURNITURE]
-    return 2 * sum(bool(WORDING.search(p)) for p in own) >= len(own) > 0
+    own = [s for x in lines for s in _CUT.split(x.strip()) if s.strip()]
+    return 2 * sum(bool(WORDING.search(s)) for s in own) >= len(own) > 0
 
 
 class Words:
-    """Word places of the passages of several records, flat."""
-
-    def __init__(self, records: list[list[Passage]], ids: _Ids):
-        words, owner, size, kinds = [], [], [], []
-        for i, parts in enumerate(records):
-            for p, kind in parts:
-                w = set(map(ids.__getitem__, p.split()))
-                w.discard(-1)
-                if w:
-                    words.append(w)
-                    owner.append(i)
-                    size.append(0 if kind == COUNT else len(p) if kind == FURNITURE else p.rfind(" <of"))
-                    kinds.append(kind)
-        self.records, self.count = len(records), len(words)
-        self.flat = np.fromiter(chain.from_iterable(words), np.int64)
-        self.at = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64)) if words else np.zeros(0, np.int64)
-        self.owner, self.size, self.kind = np.array(owner, np.int64), np.array(size, float), np.array(kinds, np.int64)
+    """Passages of several records, flat: sentences of their lines, cut where
+    a word ends with a stop or colon or begins with a bracket.
+
+    How many fields a record has is a passage of its own; of how many passages
+    it is (in powers of two) is a word of each that is no furniture.
+    """
+
+    def __init__(self, d: Lines, states: np.ndarray):
+        self.records = d.pages
+        if not d.count:
+            self.count, self.flat, self.at, self.owner, self.size, self.kind = 0, *(np.zeros(0, np.int64) for _ in range(5))
+            return
+        new = np.ones(len(d.tokens), bool)
+        new[1:] = (d.token_line[1:] != d.token_line[:-1]) | ((d.tokens[:-1] & _ENDS) > 0) | ((d.tokens[1:] & _OPENS) > 0)
+        passage = np.cumsum(new) - 1
+        line = d.token_line[new]
+        n = len(line)
+        word = ((d.tokens >> 32) & ((1 << (RESIDUE_BITS + 1)) - 1)) - 1
+        key = np.unique((passage << RESIDUE_BITS | word)[word >= 0])
+        at, flat = key >> RESIDUE_BITS, key & (_SIZE - 1)
+        owner = d.page[line]
+        stop = np.array([x in _STOPS for x in d.ends], bool)
+        kind = np.where(states[line] > 0, FURNITURE, np.where(stop[line], SENTENCE, TITLE))
+        size = np.bincount(passage, d.chars + 1, n) * (np.bincount(at, minlength=n) > 0)
+        own = np.flatnonzero((kind != FURNITURE) & (size > 0))
+        many = np.bincount(owner[own], minlength=d.pages)
+        bits = np.frexp(many[owner[own]].astype(float))[1]
+        fields = np.bincount(d.page[d.token_line], (d.tokens & _IS_FIELD) > 0, d.pages).astype(np.int64)
+        has = np.flatnonzero(fields)
+        self.count = n + len(has)
+        self.flat = np.concatenate((flat, _PASSAGES[bits], _FIELDS[np.minimum(fields[has], 3)]))
+        self.at = np.concatenate((at, own, n + np.arange(len(has))))
+        self.owner = np.concatenate((owner, has))
+        self.size = np.concatenate((size, np.zeros(len(has))))
+        self.kind = np.concatenate((kind, np.full(len(has), COUNT)))
 
     def odds(self, weights: np.ndarray) -> np.ndarray:
         """Log odds of each passage that it is positive; of furniture, that
@@ -141,12 +116,12 @@ class Words:
         are positive (good), or whose count of fields is. A genuine heading
         weighs less than a sentence, furniture only if it is positive."""
         add = lambda x: np.bincount(self.owner, x, self.records)
-        one = np.select([good & (self.kind != COUNT), self.kind == SENTENCE, self.kind == TITLE], [1.0, 1.0, HEADING], 0.0)
+        one = np.select([good & (self.kind != COUNT), self.kind == SENTENCE, self.kind == TITLE], [1.0, 1.0, HEADING], 0.0) * (self.size > 0)
         bad = add(one * good)
         return ((bad > 0) & ((2 * bad > add(one)) | (2 * add(one * good * self.size) >= add(one * self.size)))) | (add(good & (self.kind == COUNT)) > 0)
 
 
-def train(records: list[list[Passage]], prior: np.ndarray, weight: np.ndarray, settled: float = 1e-3, most_rounds: int = 200) -> np.ndarray:
+def train(d: Words, prior: np.ndarray, weight: np.ndarray, settled: float = 1e-3, most_rounds: int = 200) -> np.ndarray:
     """Log odds of each word place, by EM until no posterior moves by more
     than `settled`; the last entry is the bias of a passage of any record.
 
@@ -155,8 +130,7 @@ def train(records: list[list[Passage]], prior: np.ndarray, weight: np.ndarray, s
     record. What a record says that is genuine as a whole is genuine: the
     passages of a record decided so count as negative, if it has no sign.
     """
-    d, odds = Words(records, _Ids()), np.zeros(_SIZE)
-    other = np.log(OTHER_PRIOR / (1 - OTHER_PRIOR))
+    odds, other = np.zeros(_SIZE), np.log(OTHER_PRIOR / (1 - OTHER_PRIOR))
     if not d.count:
         return np.append(odds, other)
     first = np.where(d.kind == FURNITURE, OTHER_PRIOR, prior[d.owner])
@@ -180,10 +154,9 @@ def train(records: list[list[Passage]], prior: np.ndarray, weight: np.ndarray, s
     return np.append(odds, other)
 
 
-def decide(records: list[list[Passage]], odds: np.ndarray, ids: _Ids) -> np.ndarray:
+def decide(d: Words, odds: np.ndarray) -> np.ndarray:
     """True for each record to be left out; without passages False."""
-    d = Words(records, ids)
-    return d.decided(d.odds(odds) + odds[-1] > 0) if d.count else np.zeros(len(records), bool)
+    return d.decided(d.odds(odds) + odds[-1] > 0) if d.count else np.zeros(d.records, bool)
 
 
 class PageModel(NamedTuple):
@@ -221,48 +194,42 @@ def fit(pages: DataFrame, key: str, text: str, failed: DataFrame, others: DataFr
     rows = rows.select(key, text, F.coalesce("__bad", F.lit(False)).alias("__bad"), in_share(F.col(key), plain).alias("__plain"), in_share(F.col(key), line_share).alias("__line"))
     rows = sorted(rows.collect())
 
-    sample = [r[1].split("\n") for r in rows if r["__line"]]
+    pages_ = [r[1].split("\n") for r in rows]
+    sample = [p for p, r in zip(pages_, rows) if r["__line"]]
     if others is not None:
         sample += _line_sample(others, key, text, line_share)
-    marked = []
-    for r in rows:
-        lines = r[1].split("\n")
-        if not r["__line"] and signed(passages([(x.replace("\r", "").strip(), False) for x, s in zip(lines, page_labels(lines)) if s == 0])):
-            marked.append(lines)
+    marked = [p for p, r in zip(pages_, rows) if not r["__line"] and signed([x for x, s in zip(p, page_labels(p)) if s == 0])]
     sample += marked[: main_content.MOST_PAGES // 2]
     model = main_content.fit_pages(sample)
 
-    parts, _ = bodies([r[1] for r in rows], model)
-    records, prior, weight = [], [], []
-    for r, p in zip(rows, parts):
-        if signed(p) or r["__bad"]:
-            records.append(p)
-            prior.append(SIGNED_PRIOR if signed(p) else FAILED_PRIOR)
-            weight.append(1.0)
-        elif r["__plain"]:
-            records.append(p)
-            prior.append(OTHER_PRIOR)
-            weight.append(share / plain)
-    return PageModel(model, train(records, np.array(prior), np.array(weight)))
+    lines = Lines(pages_)
+    states = main_content.viterbi(lines, *model)
+    main: list[list[str]] = [[] for _ in pages_]
+    for page, i, s in zip(lines.page.tolist(), lines.numbers.tolist(), states.tolist()):
+        if not s:
+            main[page].append(pages_[page][i])
+    prior = np.array([SIGNED_PRIOR if signed(m) else FAILED_PRIOR if r["__bad"] else OTHER_PRIOR for m, r in zip(main, rows)])
+    # Of those without any sign the plain sample stands for all others.
+    weight = np.where(prior != OTHER_PRIOR, 1.0, np.where([r["__plain"] for r in rows], share / plain, 0.0))
+    return PageModel(model, train(Words(lines, states), prior, weight))
 
 
 def _read(batches, text: str, judged: str | None, keep: list[str], lines: bool, model):
     """Of each batch the residue flags, or the furniture lines of what is none."""
-    shared, ids = model.value, _Ids()
+    shared = model.value
     for b in slices(batches):
-        texts = b.column(b.schema.get_field_index(text)).to_pylist()
-        parts, found = bodies(texts, shared.lines)
-        bad = decide(parts, shared.odds, ids)
+        d = Lines([t.split("\n") if t else [] for t in b.column(b.schema.get_field_index(text)).to_pylist()])
+        states = main_content.viterbi(d, *shared.lines)
+        bad = decide(Words(d, states), shared.odds)
         if judged:
             bad &= np.array(b.column(b.schema.get_field_index(judged)).to_pylist(), bool)
         kept = b.select(keep)
         if not lines:
             yield kept.append_column("is_residue", pa.array(bad))
             continue
-        aside = [[] if x else [i + 1 for i, k in zip(at, s) if k > 0] for x, (at, s) in zip(bad, found)]
-        rows = np.repeat(np.arange(len(texts)), list(map(len, aside)))
-        kept = kept.take(pa.array(rows, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([x for a in aside for x in a], pa.int32())], names=[*keep, "line_no"])
+        aside = np.flatnonzero((states > 0) & ~bad[d.page])
+        kept = kept.take(pa.array(d.page[aside], pa.int64()))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(d.numbers[aside] + 1, pa.int32())], names=[*keep, "line_no"])
 
 
 def residue(pages: DataFrame, text: str, model: PageModel, *columns: str) -> DataFrame:

@@ -116,8 +116,9 @@ def test_residue_on_held_out_pages(spark):
     got = {r.key for r in template_residue.residue(df, "text", model, "key").where("is_residue").collect()}
     assert {k for k, _ in pages if k and k.startswith("b")} <= got and not [k for k in got if k and not k.startswith("b")]
     # Signs only start the training: without any at scoring it is the same.
-    parts, _ = template_residue.bodies([t for _, t in pages], model.lines)
-    assert {k for (k, _), x in zip(pages, template_residue.decide(parts, model.odds, template_residue._Ids())) if x} == got
+    d = page_lines.Lines([t.split("\n") if t else [] for _, t in pages])
+    found = template_residue.decide(template_residue.Words(d, main_content.viterbi(d, *model.lines)), model.odds)
+    assert {k for (k, _), x in zip(pages, found) if x} == got
     none = template_residue.fit(df.limit(0), "key", "text", failed, df.limit(0))
     assert template_residue.residue(df.limit(0), "text", none, "key").count() == 0
     with pytest.raises(ValueError):
@@ -155,31 +156,32 @@ def test_main_content(spark):
     # Labels by hand go before those by wordings.
     lines = [[x for x, _ in p] for p in pages[:200]]
     model = main_content.fit_pages(lines, [[y if x else -1 for x, y in p] for p in pages[:200]])
-    at, states = main_content.states(["\n".join(x for x, _ in pages[203])], model)[0]
-    assert [n + 1 for n, s in zip(at, states) if s] == sorted(n for k, n in want if k == "k203")
+    d = page_lines.Lines([[x for x, _ in pages[203]]])
+    assert (d.numbers[main_content.viterbi(d, *model) > 0] + 1).tolist() == sorted(n for k, n in want if k == "k203")
 
 
 def test_viterbi_is_exhaustive_search():
     rng = np.random.default_rng(4)
     w, t = rng.normal(size=(main_content.FEATURES, 3)), rng.normal(size=(3, 3))
-    some = lambda: rng.choice(main_content.FEATURES, 4, replace=False).tolist()
-    pages = [[(some(), some()) for _ in range(n)] for n in (1, 4, 0, 5)]
-    for page, got in zip(pages, main_content.viterbi(pages, w, t)):
+    pages = [[rng.choice(["Menu", "The town {x} is closed.", "- a", "A, b: c", "\xa0"]) for _ in range(n)] for n in (1, 4, 0, 5, 2)]
+    d = page_lines.Lines(pages)
+    e, got = main_content._emissions(d, w), main_content.viterbi(d, w, t)
+    for at, n in zip(d.start, d.sizes):
         def total(path):
-            return sum(w[a, s].sum() / 2 + w[b, s].sum() / 2 for (a, b), s in zip(page, path)) + sum(t[a, b] for a, b in zip(path, path[1:]))
+            return sum(e[at + i, s] for i, s in enumerate(path)) + sum(t[a, b] for a, b in zip(path, path[1:]))
 
-        if page:
-            assert tuple(got) == max(itertools.product(range(3), repeat=len(page)), key=total)
+        assert tuple(got[at : at + n]) == max(itertools.product(range(3), repeat=int(n)), key=total)
+    assert d.page.tolist() == [i for i, p in enumerate(pages) for x in p if x.strip()]
 
 
 def test_gradient_is_that_of_the_likelihood():
     rng = np.random.default_rng(4)
-    pages = [[([int(x) for x in rng.integers(0, 9, 2)], [9]) for _ in range(n)] for n in (3, 1, 4)]
-    d = main_content.Lines(pages)
+    pages = [["Menu", "The town hall is closed.", "- a"], ["b"], ["c d", "e.", "f", "g"]]
+    d = page_lines.Lines(pages)
     w, t, y = rng.normal(size=(main_content.FEATURES, 3)), rng.normal(size=(3, 3)), rng.integers(0, 3, 8)
 
     def likelihood(t):
-        e, out = d.emissions(w), 0.0
+        e, out = main_content._emissions(d, w), 0.0
         for at, n in zip(d.start, d.sizes):
             score = lambda p: sum(e[at + i, s] for i, s in enumerate(p)) + sum(t[a, b] for a, b in zip(p, p[1:]))
             out += score(y[at : at + n]) - np.log(sum(np.exp(score(p)) for p in itertools.product(range(3), repeat=int(n))))
