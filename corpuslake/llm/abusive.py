@@ -20,13 +20,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from .sample import in_share, share_of, slices
 
-#: Bounds of the training sample: labelled documents, unlabelled documents.
-MOST_LABELLED, MOST_UNLABELLED = 8_000, 4_000
+#: Bounds of the training sample: labelled documents, unlabelled documents,
+#: characters of each (longer ones train nothing; all are scored whole).
+MOST_LABELLED, MOST_UNLABELLED, LONGEST = 5_000, 3_000, 20_000
 #: Hashed feature space, expected share of abusive sentences among the
 #: unlabelled before any label, and the score from which a document counts.
 BITS, PRIOR, THRESHOLD = 20, 0.01, 0.5
 #: Abusive sentences that an abusive document has, about.
-EACH = 1.5
+EACH = 2.4
+#: Score (log odds) from which training takes an unlabelled sentence as abusive.
+SURE = 0.7
 #: Labelled documents that PRIOR weighs as much as.
 BELIEF = 500
 #: Sentences of fewer features count as if they had so many: a word or two
@@ -149,26 +152,27 @@ def _scores(ids: np.ndarray, at: np.ndarray, count: int, weights: np.ndarray, bi
 
 
 def train_nnpu(ids, at, positive, unlabelled, prior: float = PRIOR, epochs: int = 90, rate: float = 0.3, decay: float = 2e-6) -> tuple[np.ndarray, float]:
-    """Weights and bias by non-negative PU risk with the logistic loss.
+    """Weights of the features 0, 1, ... that occur, and bias, by non-negative
+    PU risk with the logistic loss.
 
     positive, unlabelled: masks of sentences. Risk = prior * R+(P) + max(0,
     R-(U) - prior * R-(P)); when the second term is below zero its gradient is
     reversed. Full-batch Adam, the same on every run.
     """
-    count = len(positive)
-    weights, bias = np.zeros(_SIZE), BIAS
-    m1, m2 = np.zeros(_SIZE), np.zeros(_SIZE)
+    count, size = len(positive), int(ids.max()) + 1 if len(ids) else 0
+    weights, bias = np.zeros(size), BIAS
+    m1, m2 = np.zeros(size), np.zeros(size)
     scale = 1 / np.sqrt(np.maximum(np.bincount(at, minlength=count), SHORT))
     np_, nu = max(positive.sum(), 1), max(unlabelled.sum(), 1)
     for step in range(1, epochs + 1):
-        g = _scores(ids, at, count, weights, bias)
+        g = np.bincount(at, weights[ids], count) * scale + bias
         p = 1 / (1 + np.exp(-np.clip(g, -30, 30)))
         minus = -np.log(np.clip(1 - p, 1e-12, 1))  # loss of calling it clean
         rest = minus[unlabelled].sum() / nu - prior * minus[positive].sum() / np_
         pull = np.where(positive, -prior * (1 - p) / np_, 0.0)
         push = np.where(unlabelled, p / nu, 0.0) - np.where(positive, prior * p / np_, 0.0)
         d = pull + push if rest >= 0 else -push
-        grad = np.bincount(ids, (d * scale)[at], _SIZE) + decay * weights
+        grad = np.bincount(ids, (d * scale)[at], size) + decay * weights
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
         weights = weights - rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-9) * 0.1
     return weights, bias
@@ -181,52 +185,59 @@ def class_prior(positives: int, labelled: int, each: float) -> float:
     return float(np.clip((positives * each + BELIEF * PRIOR) / (labelled + BELIEF), 0.002, 0.1))
 
 
-def train(positives: list[str], negatives: list[str], unlabelled: list[str], rounds: int = 3) -> tuple[np.ndarray, float, frozenset[str]]:
+def train(positives: list[str], negatives: list[str], unlabelled: list[str], rounds: int = 3, examples: list[str] | tuple = CONFIRMED) -> tuple[np.ndarray, float, frozenset[str]]:
     """Model from confirmed abusive and clean documents and unlabelled ones.
 
     Which sentences of an abusive document are abusive isn't known: the first
     round takes all, the later rounds those the model scores above nearly all
-    unlabelled sentences. Clean labelled documents join the
-    unlabelled. Returns weights, bias and the plain words that speak for abuse.
+    unlabelled sentences, and the unlabelled sentences it is sure of. Clean
+    labelled documents join the unlabelled but never the positive. Returns
+    weights, bias and the plain words that speak for abuse.
     """
     vocabulary = Vocabulary()
-    texts = [*CONFIRMED, *positives, *negatives, *unlabelled]
+    texts = [*examples, *positives, *negatives, *unlabelled]
     ids, at, doc = features(texts, vocabulary)
     # A feature of fewer than three sentences (mostly names) teaches nothing.
     often = np.bincount(ids, minlength=_SIZE)[ids] >= 3
-    ids, at = ids[often], at[often]
-    confirmed = doc < len(CONFIRMED)
-    inside = (doc >= len(CONFIRMED)) & (doc < len(CONFIRMED) + len(positives))
-    other = ~confirmed & ~inside
+    places, ids, at = *np.unique(ids[often], return_inverse=True), at[often]
+    first, last = len(examples), len(examples) + len(positives)
+    confirmed, inside, free = doc < first, (doc >= first) & (doc < last), doc >= last + len(negatives)
+    clean = (doc >= last) & ~free
     # Without clean labels the others tell nothing of the share.
     labelled = len(positives) + len(negatives) if negatives else 0
     prior = class_prior(len(positives) if negatives else 0, labelled, EACH * len(texts) / max(len(doc), 1))
-    weights, bias = np.zeros(_SIZE), 0.0
-    positive = confirmed | inside
+    positive, other = confirmed | inside, clean | free
+    scale = np.sqrt(np.maximum(np.bincount(at, minlength=len(doc)), SHORT))
     for r in range(rounds + 1):
         weights, bias = train_nnpu(ids, at, positive, other, prior)
-        g = _scores(ids, at, len(doc), weights, bias)
+        g = np.bincount(at, weights[ids], len(doc)) / scale + bias
         if r == rounds:
             break
         # Beyond nearly all unlabelled sentences, or found already.
-        positive = confirmed | (inside & ((g > (np.quantile(g[other], 1 - 1.5 * prior) if other.any() else 0.0)) | (g > 0)))
+        rest = clean | free
+        high = np.quantile(g[rest], 1 - 1.5 * prior) if rest.any() else 0.0
+        positive = confirmed | (inside & ((g > high) | (g > 0))) | (free & (g > SURE))
+        other = clean | (free & (g <= SURE))
+    whole = np.zeros(_SIZE)
+    whole[places] = weights
     # Words whose sentences the model finds abusive nearly always.
-    found = np.bincount(ids, (g > 0)[at].astype(float), _SIZE) / np.maximum(np.bincount(ids, minlength=_SIZE), 1)
+    found = np.zeros(_SIZE)
+    found[places] = np.bincount(ids, (g > 0)[at].astype(float), len(places)) / np.maximum(np.bincount(ids, minlength=len(places)), 1)
     one, strong = Vocabulary(), set()
     for w in {plain_word(t) for t in vocabulary}:
         if len(w) > 3 and w.isalpha():
             at_ = int(_slots(np.array([one[w]], np.uint64))[0])
-            if weights[at_] > 0.5 and found[at_] > 0.9:
+            if whole[at_] > 0.5 and found[at_] > 0.9:
                 strong.add(w)
-    return weights, bias, frozenset(strong)
+    return whole.astype(np.float32), bias, frozenset(strong)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[np.ndarray, float, frozenset[str]]:
     """Train on a bounded sample: about MOST_LABELLED labelled documents and
-    MOST_UNLABELLED others, taken by a hash of the key (so the sample is the
-    same on every run). Null labels, keys and texts are left out; of several
+    MOST_UNLABELLED others, of at most LONGEST characters each, taken by a hash
+    of the key (so the sample is the same on every run). Null labels, keys and texts are left out; of several
     labels of a document the greatest counts."""
-    have = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
+    have = docs.where(F.col(key).isNotNull() & (F.length(text) <= LONGEST)).select(key, text)
     marks = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).alias("__l"))
     chosen = marks.where(in_share(F.col(key), share_of(marks, key, MOST_LABELLED)))
     known = sorted(have.join(chosen, key).select(key, "__l", text).collect())
