@@ -19,6 +19,14 @@ from ..session import write_shared
 
 #: Containers that a block is to hold about, and at most so many items.
 BLOCK_BINS, BLOCK_ITEMS = 600, 20_000
+#: Search budgets of a block; None sets no bound and the search goes on until
+#: the lower bound is reached or all undominated fillings are tried. Branches
+#: of the fillings of one container, fillings kept of each, other fillings
+#: tried after a dead end. When they are spent the incumbent stands; no item
+#: is lost by it, only room.
+BRANCHES, WAYS, RETRIES = 60, 3, 200
+#: Rounds of packing, and the fill below which a container is packed again.
+ROUNDS, REFILL = 2, 0.9
 
 
 class _Sizes:
@@ -42,18 +50,19 @@ class _Sizes:
         self.count[s] += 1
 
 
-def fillings(sizes: _Sizes, room: int, budget: int) -> list[tuple[int, ...]]:
+def fillings(sizes: _Sizes, room: int, budget: int | None) -> list[tuple[int, ...]]:
     """Undominated ways to fill room, best first: least waste, then fewest
     (so largest) items. A way is undominated only if no item left over fits
-    into what it leaves open. At most `budget` branches are tried."""
+    into what it leaves open. At most `budget` branches are tried (None: all)."""
     found: dict[tuple[int, ...], int] = {}
     order, count = sizes.order, sizes.count
     least = order[0] if order else room + 1
     best = room + 1
     stack: list[tuple[int, int, tuple[int, ...]]] = [(room, bisect_right(order, room) - 1, ())]
-    while stack and budget:
+    tried = 0
+    while stack and (budget is None or tried < budget):
         left, at, used = stack.pop()
-        budget -= 1
+        tried += 1
         if left < least or at < 0:
             found[used] = left
             best = min(best, left)
@@ -104,13 +113,14 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def complete_bins(sizes: list[int], capacity: int, branches: int = 60, retries: int = 200) -> list[list[int]]:
+def complete_bins(sizes: list[int], capacity: int, branches: int | None = BRANCHES, ways: int | None = WAYS, retries: int | None = RETRIES) -> list[list[int]]:
     """Bins of sizes (each 1..capacity) by bin completion.
 
     The largest item left opens a bin; its undominated fillings are tried best
     first. A branch ends when the waste so far rules out beating the
     incumbent; then another filling of an earlier bin is taken, `retries`
-    times at most. The search ends early at the lower bound.
+    times at most. The search ends early at the lower bound. Without budgets
+    (None) the result is optimal.
     """
     if not sizes:
         return []
@@ -119,38 +129,38 @@ def complete_bins(sizes: list[int], capacity: int, branches: int = 60, retries:
     bound = max(-(-total // capacity), sum(1 for s in sizes if 2 * s > capacity))
     left = _Sizes(sizes)
     path: list[tuple[list[tuple[int, ...]], int, int, int]] = []  # fillings, chosen, largest, waste
-    waste = 0
+    waste = again = 0
     while len(incumbent) > bound:
         allowed = (len(incumbent) - 1) * capacity - total
         if not left.order and waste <= allowed:
-            incumbent = [[big, *ways[k]] for ways, k, big, _ in path]
+            incumbent = [[big, *found[k]] for found, k, big, _ in path]
             continue  # its waste is beyond what is allowed now
         if left.order and waste <= allowed:
             big = left.order[-1]
             left.take(big)
-            ways = fillings(left, capacity - big, branches) or [()]
-            for s in ways[0]:
+            found = fillings(left, capacity - big, branches) or [()]
+            for s in found[0]:
                 left.take(s)
-            lost = capacity - big - sum(ways[0])
-            path.append((ways[:3], 0, big, lost))
+            lost = capacity - big - sum(found[0])
+            path.append((found[:ways], 0, big, lost))
             waste += lost
             continue
         while path:
-            ways, k, big, lost = path.pop()
+            found, k, big, lost = path.pop()
             waste -= lost
-            for s in ways[k]:
+            for s in found[k]:
                 left.give(s)
-            if k + 1 < len(ways) and retries > 0:
-                lost = capacity - big - sum(ways[k + 1])
+            if k + 1 < len(found) and (retries is None or again < retries):
+                lost = capacity - big - sum(found[k + 1])
                 if waste + lost <= allowed:
-                    retries -= 1
-                    for s in ways[k + 1]:
+                    again += 1
+                    for s in found[k + 1]:
                         left.take(s)
-                    path.append((ways, k + 1, big, lost))
+                    path.append((found, k + 1, big, lost))
                     waste += lost
                     break
             left.give(big)
-        if not path or retries <= 0:
+        if not path or (retries is not None and again >= retries):
             break
     return incumbent
 
@@ -177,7 +187,7 @@ def _pack_block(pdf: pd.DataFrame, ids: str, round_: int) -> pd.DataFrame:
     return pdf
 
 
-def pack(items: DataFrame, ids: str, size: str, specs: DataFrame, rounds: int = 2, refill: float = 0.9) -> DataFrame:
+def pack(items: DataFrame, ids: str, size: str, specs: DataFrame, rounds: int = ROUNDS, refill: float = REFILL) -> DataFrame:
     """spec_id, ids, piece, start, n, container_id for every item and spec.
 
     specs: spec_id, capacity_tokens (a small fixed table; null or non-positive

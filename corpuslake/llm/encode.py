@@ -42,11 +42,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 class Encoder(dict):
     """piece -> ids, filled by the tokenizers library on first use."""
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         table = {c: b for b, c in byte_characters().items()}
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -103,7 +103,21 @@ def byte_characters() -> dict[int, str]:
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    """The encoder of a vocabulary file of this machine."""
+    with open(path, encoding="utf-8") as f:
+        return Encoder(f.read())
+
+
+@lru_cache(2)
+def _shipped(vocabulary: str) -> Encoder:
+    return Encoder(vocabulary)
+
+
+def _ship(df: DataFrame, path: str | None):
+    """The vocabulary file (a few MB) as read by the driver, sent to all
+    workers once; they need no file of their own."""
+    with open(path or tokenizer_path(), encoding="utf-8") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
 
 
 def _lists(values: list[list[int]]) -> pa.Array:
@@ -112,8 +126,8 @@ def _lists(values: list[list[int]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _encode(batches, text: str, path: str, ids: str | None, count: str | None, starts: str | None, ends: str | None):
-    enc = encoder(path)
+def _encode(batches, text: str, vocabulary, ids: str | None, count: str | None, starts: str | None, ends: str | None):
+    enc = _shipped(vocabulary.value)
     for b in batches:
         at = b.schema.get_field_index(text)
         texts = b.column(at).to_pylist()
@@ -147,18 +161,18 @@ def encode(df: DataFrame, text: str, ids: str = "ids", path: str | None = None,
     """
     ints = T.ArrayType(T.IntegerType())
     new = [T.StructField(ids, ints), *(T.StructField(c, ints) for c in (starts, ends) if c)]
-    run = partial(_encode, text=text, path=path or tokenizer_path(), ids=ids, count=None, starts=starts, ends=ends)
+    run = partial(_encode, text=text, vocabulary=_ship(df, path), ids=ids, count=None, starts=starts, ends=ends)
     return df.mapInArrow(run, _without(df, text, *new))
 
 
 def token_counts(df: DataFrame, text: str, count: str = "n_tokens", path: str | None = None) -> DataFrame:
     """df with the number of tokens in place of text; 0 for null and empty."""
-    run = partial(_encode, text=text, path=path or tokenizer_path(), ids=None, count=count, starts=None, ends=None)
+    run = partial(_encode, text=text, vocabulary=_ship(df, path), ids=None, count=count, starts=None, ends=None)
     return df.mapInArrow(run, _without(df, text, T.StructField(count, T.IntegerType())))
 
 
-def _decode(batches, ids: str, path: str, text: str):
-    enc = encoder(path)
+def _decode(batches, ids: str, vocabulary, text: str):
+    enc = _shipped(vocabulary.value)
     for b in batches:
         lists = b.column(b.schema.get_field_index(ids)).to_pylist()
         yield b.drop_columns([ids]).append_column(text, pa.array([None if x is None else enc.decode(x) for x in lists], pa.string()))
@@ -167,5 +181,5 @@ def _decode(batches, ids: str, path: str, text: str):
 def decode(df: DataFrame, ids: str = "ids", text: str = "text", path: str | None = None) -> DataFrame:
     """df with the text of ids in their place; null ids give null, no ids the
     empty text."""
-    run = partial(_decode, ids=ids, path=path or tokenizer_path(), text=text)
+    run = partial(_decode, ids=ids, vocabulary=_ship(df, path), text=text)
     return df.mapInArrow(run, _without(df, ids, T.StructField(text, T.StringType())))

@@ -19,14 +19,16 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import write_shared
 
-#: Bands and rows: at similarity 0.6, 1 - (1 - 0.6**5)**50 = 98 of 100 pairs
-#: share a band, at 0.65 99.8, at 0.7 all but one of ten thousand.
-BANDS, ROWS = 50, 5
+#: Bands and rows: at similarity 0.6, 1 - (1 - 0.6**5)**90 = 999.3 of 1000
+#: pairs share a band, at 0.65 all but two of 100,000.
+BANDS, ROWS = 90, 5
 #: Values of the sketch that pruning compares, how many at a time, and the
-#: posterior probability below which a pair is dropped.
-SKETCH, STEP, TOLERANCE = 128, 16, 0.001
-#: A verification group is split so that no task holds more documents.
-GROUP = 400
+#: posterior probability below which a pair is dropped; over all eight steps
+#: that loses 1 of 10,000 pairs at the threshold.
+SKETCH, STEP, TOLERANCE = 128, 16, 0.00002
+#: A verification group is split until it has about so many pairs at most, and
+#: so no more than twice as many texts.
+GROUP = 3_200
 
 _U = np.uint64
 _LETTERS = bytes(range(97, 123)) + bytes(range(48, 58))
@@ -250,11 +252,15 @@ def near_duplicates(
     placed = placed.withColumn("hub", F.least("la", "lb"))
     # A hub with many texts is split into blocks of texts; a pair lies in the
     # cell of its two blocks, a text goes to the cells in which it has pairs.
-    many = placed.groupBy("hub").agg(F.greatest(F.lit(1).cast("long"), F.ceil(F.count("*") / (GROUP * 8))).alias("blocks"))
+    # Where one text has most of the pairs (a star), blocks alone leave cells
+    # too large; those are split by pair.
+    many = placed.groupBy("hub").agg(F.greatest(F.lit(1).cast("long"), F.ceil(F.count("*") / GROUP)).alias("blocks"))
     cut = lambda c: F.pmod(F.xxhash64(c), F.ceil(F.sqrt("blocks")).cast("long"))
-    placed = placed.join(many, "hub").withColumn("x", cut("a")).withColumn("y", cut("b"))
-    placed = write_shared(placed.select("a", "b", "hub", "x", "y"), "nd-placed")
-    cell = ["hub", "x", "y"]
+    placed = placed.join(many, "hub").withColumn("x", cut("a")).withColumn("y", cut("b")).select("a", "b", "hub", "x", "y")
+    full = placed.groupBy("hub", "x", "y").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    placed = placed.join(full, ["hub", "x", "y"]).withColumn("z", F.pmod(F.xxhash64("a", "b"), F.col("parts")))
+    placed = write_shared(placed.select("a", "b", "hub", "x", "y", "z"), "nd-placed")
+    cell = ["hub", "x", "y", "z"]
     needs = placed.select(*cell, F.col("a").alias("id")).unionByName(placed.select(*cell, F.col("b").alias("id"))).distinct()
     who = members.where("id = cls").select("grp", "key", "id")
     needs = needs.join(who, "id")

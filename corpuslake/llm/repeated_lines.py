@@ -2,7 +2,9 @@
 
 Distributed PrefixSpan over line identifiers: the frequent single lines are
 counted first; each level then extends a frequent sequence by the lines that
-follow its first occurrence in a document, until a level has none. Only
+follow in a document, until a level has none. Over any gaps its first
+occurrence in a document stands for all later ones, as whatever follows those
+follows it; with a bounded gap each occurrence is a projection. Only
 frequent lines stay in the projected documents; counts are combined before
 they are shuffled.
 """
@@ -32,7 +34,6 @@ def line_ids(text: Column) -> Column:
     Equal ids are lines equal after lower-casing, dropping digits 0-9, making
     white space runs one space and trimming.
     """
-    plain = F.translate(F.lower(text), "0123456789\r\t ", "")
     plain = F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]+", ""), r"(?U)[\s\x1c-\x1f&&[^\n]]+", " ")
     clean = F.transform(F.split(plain, "\n", -1), lambda x: F.trim(x))
     return F.transform(clean, lambda x: F.when(x != "", F.xxhash64(x)))
@@ -42,11 +43,12 @@ def sourced_lines(docs: DataFrame, key: str, text: str, sources: DataFrame, sour
     """key, lines, sources: documents with line ids and their distinct sources.
 
     sources has key and source pairs (a document may have several). Null keys,
-    texts and sources are left out.
+    texts and sources are left out. The line ids are written once, so a text
+    is read and normalised once however often they are used.
     """
     per = sources.where(F.col(key).isNotNull() & F.col(source).isNotNull()).select(key, source).distinct()
     lines = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, line_ids(F.col(text)).alias("lines"))
-    return per.join(lines, key).select(F.col(key).alias("doc"), F.col(source).alias("src"), "lines")
+    return write_shared(per.join(lines, key).select(F.col(key).alias("doc"), F.col(source).alias("src"), "lines"), "ps-lines")
 
 
 def frequent_lines(lines: DataFrame, support: int) -> DataFrame:
@@ -67,6 +69,19 @@ def mark_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
     return at.join(many, ["src", "line", "salt"]).select("doc", "src", (F.col("pos") + 1).cast("int").alias("line_no"), "line")
 
 
+def mark_sequences(lines: DataFrame, support: int) -> DataFrame:
+    """doc, src, line_no, line of each line that lies in an occurrence of a
+    frequent sequence of any length, single lines included.
+
+    PrefixSpan's first level decides these rows: each line of a sequence that
+    `support` documents of a source have is itself in all of them, so longer
+    frequent sequences, over whatever gaps, consist of lines that the first
+    level has found and add none. What the longer ones are is listed by
+    frequent_sequences and counted by sequence_counts.
+    """
+    return mark_lines(lines, frequent_lines(lines, support))
+
+
 def _items(marked: DataFrame) -> DataFrame:
     """src, doc, line, at (from 1 among the document's frequent lines), prev:
     where the document has the line before that (0: nowhere)."""

@@ -3,6 +3,7 @@ import os
 import random
 import re
 from collections import Counter
+from math import comb
 
 import numpy as np
 import pytest
@@ -55,6 +56,30 @@ def test_pruning_keeps_what_may_reach_the_threshold():
     assert list(need) == sorted(need) and all(m < 0.6 * n for m, n in zip(need, range(16, 129, 16)))
 
 
+def test_few_pairs_at_the_threshold_are_lost():
+    assert (1 - 0.6**near_duplicates.ROWS) ** near_duplicates.BANDS < 0.001
+    alive = {0: 1.0}  # chance of each number of equal values, of a pair at 0.6
+    for m in near_duplicates.least_matches(0.6):
+        after = Counter()
+        for k, p in alive.items():
+            for j in range(near_duplicates.STEP + 1):
+                after[k + j] += p * comb(near_duplicates.STEP, j) * 0.6**j * 0.4 ** (near_duplicates.STEP - j)
+        alive = {k: p for k, p in after.items() if k >= m}
+    assert sum(alive.values()) > 0.9998
+
+
+def test_star_of_pairs_is_split(spark, monkeypatch):
+    """One text with most of the pairs: cells stay small, no pair is lost."""
+    monkeypatch.setattr(near_duplicates, "GROUP", 20)
+    base = [f"w{i}" for i in range(300)]
+    rows = [("k", " ".join(base))] + [(f"k{j}", " ".join(base[: 5 * j] + [f"v{j}x{i}" for i in range(5)] + base[5 * j + 5 :])) for j in range(60)]
+    df = spark.createDataFrame(rows, "key string, text string")
+    pairs, members = near_duplicates.near_duplicates(df, "key", "text", k=3, threshold=0.93)
+    got = {(r.key_a, r.key_b) for r in near_duplicates.expand(pairs, members).collect()}
+    want = {tuple(sorted((a, b))) for (a, s), (b, t) in itertools.combinations(rows, 2) if len(sets(s, 3)[0] & sets(t, 3)[0]) > 0.93 * len(sets(s, 3)[0] | sets(t, 3)[0])}
+    assert got == want and 60 <= len(want) < 70
+
+
 # -- 2: repeated lines ------------------------------------------------------
 def test_repeated_lines_and_sequences(spark):
     docs = [(f"d{i}", f"Top {i}\nown text {'abc'[i % 3] * (i + 1)}\n\xa0Foot  note\r\nLAST") for i in range(9)] + [("e", ""), ("n", None), (None, "Top 1")]
@@ -63,6 +88,7 @@ def test_repeated_lines_and_sequences(spark):
     lines = repeated_lines.sourced_lines(df, "key", "text", src, "src")
     marked = repeated_lines.mark_lines(lines, repeated_lines.frequent_lines(lines, 8))
     assert {(r.doc, r.line_no) for r in marked.collect()} == {(f"d{i}", n) for i in range(9) for n in (1, 3, 4)}
+    assert {tuple(r) for r in repeated_lines.mark_sequences(lines, 8).collect()} == {tuple(r) for r in marked.collect()}
     seqs = repeated_lines.frequent_sequences(marked, 8, longest=3)
     assert sorted(len(r.seq) for r in seqs.collect()) == [1, 1, 1, 2, 2, 3]
     left = {r.key: r.text for r in repeated_lines.remove_lines(df, "key", "text", marked).collect()}
@@ -84,6 +110,9 @@ def test_sequences_of_any_length_and_gap(spark):
             if n >= 4:
                 want[site, len(q)] = want.get((site, len(q)), 0) + 1
     assert max(n for _, n in want) == 7 and want["e", 4] == 35
+    # The lines of all frequent sequences are those of the first level.
+    singles = {(site, q) for site in "de" for k, t in docs if k[0] == site for q in t.split("\n") if sum(q in u.split("\n") for j, u in docs if j[0] == site) >= 4}
+    assert {(r.doc, r.line_no) for r in repeated_lines.mark_sequences(lines, 4).collect()} == {(k, n + 1) for k, t in docs for n, q in enumerate(t.split("\n")) if (k[0], q) in singles}
     assert {(r.src, r.length): int(r.sequences) for r in repeated_lines.sequence_counts(marked, 4).collect()} == want
     listed = repeated_lines.frequent_sequences(marked, 4, gap=None).collect()
     assert Counter((r.src, len(r.seq)) for r in listed) == want
@@ -216,6 +245,33 @@ def test_best_record(spark):
     got = {(x.grp, x.field): x.id for x in best_record.choose(claims, r, rank, "id", "t", together=False).collect()}
     assert got == {(1, "f"): 2, (2, "f"): 9}
     assert best_record.source_reliability(claims.limit(0), rank) == {}
+    with pytest.warns(RuntimeWarning):
+        best_record.source_reliability(claims, None, rounds=1, settled=1e-9)
+
+
+def test_truth_discovery_finds_planted_bad_sources(spark):
+    """Two sources that mostly err and agree by chance only lose to those that
+    don't, though they make the first claims and outnumber one of them; no
+    rank says so. Null sources and values claim nothing."""
+    rng = random.Random(6)
+    rows = []
+    for g in range(200):
+        for i, (s, right) in enumerate([("bad1", 0.2), ("bad2", 0.2), ("good1", 0.95), ("good2", 0.9), ("good3", 0.9)]):
+            if rng.random() < 0.7:
+                rows.append((g, "f", "true" if rng.random() < right else f"x{rng.randrange(3)}", s, 10 * g + i))
+    df = spark.createDataFrame([*rows, (0, "f", "y", None, 5000), (0, "f", None, "bad1", 5001)], "grp long, field string, value string, source string, id long").withColumn("t", F.lit(None).cast("timestamp"))
+    r = best_record.source_reliability(df, None)
+    assert min(r["good1"], r["good2"], r["good3"]) > max(r["bad1"], r["bad2"]) + 0.2
+    got = [x.value for x in best_record.choose(df, r, {}, "id", "t", together=True).collect()]
+    plain = [x.value for x in best_record.choose(df, {s: 1.0 for s in r}, {}, "id", "t", together=True).collect()]
+    assert got.count("true") > plain.count("true") and got.count("true") > 0.9 * len(got)
+
+
+def test_a_null_source_and_an_unranked_one_are_alike(spark):
+    """Neither has a rank: the later claim goes first, then the least id."""
+    df = spark.createDataFrame([(1, "f", "a", None, 1, 9), (1, "f", "b", "odd", 2, 5), (2, "f", "a", None, 3, 5), (2, "f", "b", "odd", 4, 9)], "grp long, field string, value string, source string, id long, t long").withColumn("t", F.timestamp_seconds("t"))
+    r = best_record.source_reliability(df, {"good": 1})
+    assert {x.grp: x.id for x in best_record.choose(df, r, {"good": 1}, "id", "t", together=False).collect()} == {1: 1, 2: 4}
 
 
 # -- 8: encoding ------------------------------------------------------------
@@ -253,6 +309,19 @@ def test_bin_completion_finds_the_optimum_best_fit_misses():
     assert len(containers.best_fit(sizes, 10)) == 3 and len(containers.complete_bins(sizes, 10)) == 2
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(2, 12), max_size=9))
+def test_without_budgets_the_packing_is_optimal(sizes):
+    def least(rest, rooms):
+        if not rest:
+            return len(rooms)
+        options = {room: i for i, room in enumerate(rooms) if room >= rest[0]}
+        tries = [least(rest[1:], [*rooms[:i], rooms[i] - rest[0], *rooms[i + 1 :]]) for i in options.values()]
+        return min([*tries, least(rest[1:], [*rooms, 14 - rest[0]]) if len(rooms) < len(sizes) else 99])
+
+    assert len(containers.complete_bins(sizes, 14, None, None, None)) == (least(sorted(sizes, reverse=True), []) if sizes else 0)
+
+
 def test_pack(spark):
     rng = random.Random(9)
     rows = [(i, rng.choice([0, 3, 50, 90, 100, 250, 1234])) for i in range(500)] + [(500, None), (None, 5)]
