@@ -65,6 +65,13 @@ def listed_states(issues: Column, prefix: str) -> Column:
     return F.array_distinct(F.filter(codes, lambda c: c.rlike("^[A-Z]{2}$")))
 
 
+def selected_states(values: list[str | None]) -> list[str]:
+    """Distinct two-letter codes of repeated or comma-separated requests, in
+    the order asked; what is no code is left out."""
+    codes = [c.strip().upper() for v in values for c in (v or "").split(",")]
+    return list(dict.fromkeys(c for c in codes if len(c) == 2 and c.isascii() and c.isalpha()))
+
+
 def name_tokens(name: Column, stop: tuple[str, ...] = ("the", "of", "and", "for", "a")) -> Column:
     """Sorted distinct words of a name, without stop words."""
     words = F.filter(F.split(F.lower(name), r"[^a-z0-9]+"), lambda x: x != "")

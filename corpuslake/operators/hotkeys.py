@@ -8,10 +8,15 @@ is split again and again until it is one value. A hot key costs no more than
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import write_shared
 
+#: A key is hot from this share (one HOT-th) of all rows on.
+HOT = 2_000
+
 
 def key_totals(df: DataFrame, key: str, value: str) -> DataFrame:
     """key, n, total, low, high: n counts rows with a value, total sums them.
@@ -25,27 +30,33 @@ def key_totals(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def key_quantiles(df: DataFrame, key: str, value: str, quantiles: list[float], bins: int = 64, totals: DataFrame | None = None) -> DataFrame:
+def key_quantiles(
+    df: DataFrame, key: str, value: str, quantiles: list[float | Callable[[Column], Column]], bins: int = 64, totals: DataFrame | None = None
+) -> DataFrame:
     """key, n, total, low, high and array q: the exact quantiles (the value of
-    rank ceil(q*n), ranks from 1) of a whole-number column for each key.
+    rank ceil(q*n), ranks from 1) of a whole-number column for each key. A
+    quantile may also be a function from n to a rank.
 
     Refines histograms: each round counts, for every (key, open quantile), the
     values of `bins` equal parts of the range that still holds the rank, and
     keeps the part with the rank. The range shrinks bins-fold a round, so 64
     bits need at most 11 rounds. Keys with no value get null quantiles. An
     empty table gives an empty result. Extra columns don't matter.
+
+    A key with more than a HOT-th of all rows is hot; there are fewer than HOT
+    of them, so their ranges are broadcast and their rows stay where they are.
+    The rows of other keys meet theirs by a shuffle.
     """
-    rows = write_shared(df.select(F.col(key).alias("key"), F.col(value).cast("long").alias("v")), "hk-rows")
+    rows = df.select(F.col(key).alias("key"), F.col(value).cast("long").alias("v"))
     totals = write_shared(totals if totals is not None else key_totals(rows, "key", "v"), "hk-totals")
-    open_ = totals.where("n > 0").select(
-        "key",
-        F.posexplode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("i", "q"),
-        F.col("low").cast("long").alias("lo"),
-        F.col("high").cast("long").alias("hi"),
-        "n",
-    )
-    rank = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") * F.col("q")).cast("long"))
-    open_ = write_shared(open_.select("key", "i", "lo", "hi", rank.alias("rank")), "hk-open")
+    whole = totals.agg(F.sum("n")).first()[0] or 0
+    hot = totals.where(F.col("key").isNotNull() & (F.col("n") * HOT > F.lit(whole))).select(F.col("key").alias("hot"))
+    rows = rows.where("v is not null").join(F.broadcast(hot), F.col("key") == F.col("hot"), "left")
+    rows = write_shared(rows.select("key", "v", F.col("hot").isNotNull().alias("is_hot")), "hk-rows")
+    ranks = [q(F.col("n")) if callable(q) else F.ceil(F.col("n") * F.lit(float(q))) for q in quantiles]
+    ranks = [F.greatest(F.lit(1).cast("long"), r.cast("long")) for r in ranks]
+    open_ = totals.where("n > 0").select("key", F.posexplode(F.array(*ranks)).alias("i", "rank"), F.col("low").cast("long").alias("lo"), F.col("high").cast("long").alias("hi"))
+    open_ = write_shared(open_.select("key", "i", "lo", "hi", "rank"), "hk-open")
     done = None
     while True:
         closed = open_.where("lo = hi").select("key", "i", F.col("lo").alias("x"))
@@ -55,10 +66,13 @@ def key_quantiles(df: DataFrame, key: str, value: str, quantiles: list[float], b
             break
         # The open ranges of a key travel together as one short array (one
         # entry for each quantile), so a row meets its key's ranges at once.
-        ranges = live.groupBy("key").agg(F.collect_list(F.struct("i", "lo", "hi", "w")).alias("rs"))
+        ranges = live.groupBy("key").agg(F.collect_list(F.struct("i", "lo", "hi", "w")).alias("rs")).withColumnRenamed("key", "k")
+        few = ranges.join(F.broadcast(hot), F.col("k") == F.col("hot"), "left_semi")
+        met = rows.where("is_hot").join(F.broadcast(few), F.col("key") == F.col("k")).unionByName(
+            rows.where("not is_hot").join(ranges.join(F.broadcast(hot), F.col("k") == F.col("hot"), "left_anti"), F.col("key").eqNullSafe(F.col("k")))
+        )
         hit = (
-            rows.join(ranges, rows["key"].eqNullSafe(ranges["key"]))
-            .select(rows["key"], "v", F.explode("rs").alias("r"))
+            met.select("key", "v", F.explode("rs").alias("r"))
             .where("v between r.lo and r.hi")
             .groupBy("key", F.col("r.i").alias("i"), F.expr("(v - r.lo) div r.w").alias("b"))
             .agg(F.count("*").alias("c"))

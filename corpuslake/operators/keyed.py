@@ -28,22 +28,52 @@ def first_by_key(df: DataFrame, keys: list[str], ordinal: Column) -> DataFrame:
     return best_by_key(df, keys, [], ordinal)
 
 
-def numbered(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
-    """df with a global row number from 0 in the given order (nulls last).
+#: Shares that a hot key's rows are dealt to when they meet its one row.
+SALTS = 16
 
-    Range partitions are sorted on their own; each row number is the rows of
-    the partitions before plus the place within. No single partition holds the
-    table; only one count for each partition is broadcast. The order must be
-    total, or equal rows are numbered in any order.
+
+def numbered(df: DataFrame, order: list[str | Column], name: str, partitions: int | None = None) -> DataFrame:
+    """df with a global row number from 0 in the given order (columns by name
+    ascend, nulls last).
+
+    One range shuffle: partitions are sorted and written with the place of
+    each row, and a partition's rows go after those of the partitions before.
+    No single partition holds the table; only one count for each partition is
+    broadcast. The order must be total, or equal rows are numbered in any order.
     """
-    keys = [F.col(c).asc_nulls_last() for c in order]
-    ranged = df.repartitionByRange(*([partitions] if partitions else []), *keys).withColumn("__p", F.spark_partition_id())
-    ranged = write_shared(ranged, "numbered")
+    keys = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *keys).sortWithinPartitions(*keys)
+    # Partition number in the upper bits, place within it in the lower 33.
+    ranged = write_shared(ranged.withColumn("__m", F.monotonically_increasing_id()), "numbered")
+    ranged = ranged.withColumn("__p", F.shiftright("__m", 33))
     counts = ranged.groupBy("__p").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))  # a row for each partition
     offsets = counts.select("__p", F.coalesce(before, F.lit(0)).alias("__o"))
-    within = F.row_number().over(Window.partitionBy("__p").orderBy(*keys)) - 1
-    return ranged.withColumn("__w", within).join(F.broadcast(offsets), "__p").withColumn(name, (F.col("__o") + F.col("__w")).cast("long")).drop("__p", "__o", "__w")
+    return ranged.join(F.broadcast(offsets), "__p").withColumn(name, F.col("__o") + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))).drop("__p", "__o", "__m")
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[str | Column], name: str) -> DataFrame:
+    """df with the row number (from 1) within each key, in the given order:
+    its global number after its key's first. A hot key lies in many range
+    partitions, so no task holds it; the key's first number is met salted.
+    Null keys are keys of their own."""
+    rows = numbered(df, [*keys, *order], "__no")
+    first = rows.groupBy(*keys).agg(F.min("__no").alias("__first"))
+    names = [f"__k{i}" for i in range(len(keys))]
+    first = first.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt2"))
+    rows = rows.withColumn("__salt", F.pmod(F.col("__no"), F.lit(SALTS)).cast("int"))
+    same = F.col("__salt") == F.col("__salt2")
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return rows.join(first, same).withColumn(name, F.col("__no") - F.col("__first") + 1).drop(*names, "__no", "__first", "__salt", "__salt2")
+
+
+def listed(df: DataFrame, keys: list[str], order: list[str | Column], value: Column, size: int, name: str) -> DataFrame:
+    """keys, part (from 0), name: the values of each key as arrays of at most
+    `size`, in order. A hot key gives many arrays, never one."""
+    rows = ranked(df, keys, order, "__n").withColumn("part", F.floor((F.col("__n") - 1) / size).cast("int"))
+    got = rows.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct("__n", value.alias("v")))).alias("__l"))
+    return got.select(*keys, "part", F.transform("__l", lambda x: x["v"]).alias(name))
 
 
 def runs(df: DataFrame, value: str, position: str, within: list[str]) -> DataFrame:

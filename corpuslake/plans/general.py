@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.hotkeys import key_quantiles, key_totals
 from ..operators.timestamps import normalise
+from ..session import write_shared
 from ..tables import table
 
 
@@ -43,10 +44,10 @@ def _captures(spark: SparkSession, folder: str) -> DataFrame:
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """Domains with at least a hundredth of all captures.
 
-    The totals of all keys are one mergeable pass; the grand total is the sum
-    of the keys' totals, so the rows are read once.
+    The totals of all keys are one mergeable pass that is written; the grand
+    total is the sum of the keys' totals, so the rows are read once.
     """
-    per = key_totals(_captures(spark, folder), "domain", "row_count")
+    per = write_shared(key_totals(_captures(spark, folder), "domain", "row_count"), "p7-totals")
     grand = per.agg(F.sum("total").alias("grand"))  # one row
     return per.join(F.broadcast(grand)).where("key is not null and total * 100 >= grand").select(F.col("key").alias("domain"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,19 +30,30 @@ def get_session(app: str = "corpuslake", cores: str | int = "*", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session.
 
-    Only where the cluster names none (tests, local mode) a folder of this
-    machine is set, once for each session.
+    Only in local mode, and where none is named, a folder of this machine is
+    set, once for each session, and deleted at the end of the process. On a
+    cluster without a named folder this raises: each executor would write to a
+    disk of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
-        named = "file://" + tempfile.mkdtemp(prefix="corpuslake-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        local = tempfile.mkdtemp(prefix="corpuslake-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        named = "file://" + local
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, in the application's own part."""
+    return os.path.join(shared_dir(spark), f"corpuslake-{spark.sparkContext.applicationId}", f"{name}-{uuid.uuid4().hex}")
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there.
 
@@ -48,6 +61,14 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     reads prune columns. Survives the loss of any executor.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Delete all that this application wrote with write_shared. To be called
+    when the results of its queries have been read or written elsewhere."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(os.path.join(shared_dir(spark), f"corpuslake-{spark.sparkContext.applicationId}"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

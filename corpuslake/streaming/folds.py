@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import shared_dir
+from ..session import shared_path
 
 
 def file_stream(spark: SparkSession, path: str, schema, pattern: str = "*", per_trigger: int | None = None, kind: str = "parquet") -> DataFrame:
@@ -21,7 +20,7 @@ def file_stream(spark: SparkSession, path: str, schema, pattern: str = "*", per_
 def run_available(df: DataFrame, each, mode: str = "append") -> None:
     """Process what there is in micro-batches and stop. each(batch, number)
     must give the same result if a batch is repeated after a failure."""
-    place = os.path.join(shared_dir(df.sparkSession), f"stream-{uuid.uuid4().hex}")
+    place = shared_path(df.sparkSession, "stream")
     df.writeStream.outputMode(mode).option("checkpointLocation", place).trigger(availableNow=True).foreachBatch(each).start().awaitTermination()
 
 
@@ -32,7 +31,7 @@ def fold_latest(stream: DataFrame, key: str, order: Column, carry: list[str]) ->
     the same files again); reading folds the partials, so no table is ever
     rewritten and state doesn't grow in memory."""
     spark = stream.sparkSession
-    out = os.path.join(shared_dir(spark), f"fold-{uuid.uuid4().hex}")
+    out = shared_path(spark, "fold")
 
     def each(batch: DataFrame, number: int) -> None:
         part = batch.groupBy(key).agg(F.max(F.struct(order.alias("o"), *carry)).alias("last"), F.count("*").alias("n"))
@@ -51,7 +50,7 @@ def windowed_counts(stream: DataFrame, time: str, by: str, window: Column, late:
 def to_table(stream: DataFrame, mode: str) -> DataFrame:
     """All output of a stream (complete: the last) as a table."""
     spark = stream.sparkSession
-    out = os.path.join(shared_dir(spark), f"out-{uuid.uuid4().hex}")
+    out = shared_path(spark, "out")
 
     def each(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={number}")
