@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import write_shared
+from .sample import slices
 
 #: Bands and rows: at similarity 0.6, 1 - (1 - 0.6**5)**90 = 999.3 of 1000
 #: pairs share a band, at 0.65 all but two of 100,000.
@@ -105,7 +106,7 @@ def minhashes(values: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
 
 
 def _signatures(batches, text: str, k: int, least_words: int, parts: list[str]):
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
         values = [word_values(t) if t else [] for t in texts]
         keep = [i for i, v in enumerate(values) if len(v) >= max(least_words, k)]
