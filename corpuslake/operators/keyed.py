@@ -71,8 +71,8 @@ def ranked(df: DataFrame, keys: list[str], order: list[str | Column], name: str)
 def listed(df: DataFrame, keys: list[str], order: list[str | Column], value: Column, size: int, name: str) -> DataFrame:
     """keys, part (from 0), name: the values of each key as arrays of at most
     `size`, in order. A hot key gives many arrays, never one."""
-    rows = ranked(df, keys, order, "__n").withColumn("part", F.floor((F.col("__n") - 1) / size).cast("int"))
-    got = rows.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct("__n", value.alias("v")))).alias("__l"))
+    rows = ranked(df.withColumn("__v", value), keys, order, "__n").select(*keys, "__n", "__v", F.floor((F.col("__n") - 1) / size).cast("int").alias("part"))
+    got = rows.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct("__n", F.col("__v").alias("v")))).alias("__l"))
     return got.select(*keys, "part", F.transform("__l", lambda x: x["v"]).alias(name))
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import text as X
 from ..functions.cid import cid_v1
 from ..operators.documents import line_rows, segment, subsection_tree, tree_issues
-from ..operators.keyed import best_by_key, first_by_key
+from ..operators.keyed import best_by_key, first_by_key, listed
+from ..session import write_shared
 from ..tables import table
 
 
@@ -16,20 +17,20 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def nested_haspart_explode(spark, d):
-    """Documents put under their source as parts and taken out again."""
-    t = _docs(spark, d).where("source is not null").select("source", F.struct("doc_id", "lang", F.length(X.norm(F.col("text"))).alias("chars")).alias("part"), F.pmod("doc_id", F.lit(16)).alias("page"))
-    whole = t.groupBy("source", "page").agg(F.to_json(F.struct(F.collect_list("part").alias("hasPart"))).alias("j"))  # pages keep the lists short
+    """Documents put under their source as parts, at most 100 in one record,
+    and taken out again."""
+    t = _docs(spark, d).where("source is not null").select("source", "doc_id", F.struct("doc_id", "lang", F.length(X.norm(F.col("text"))).alias("chars")).alias("part"))
+    whole = listed(t, ["source"], ["doc_id"], F.col("part"), 100, "hasPart").select("source", F.to_json(F.struct("hasPart")).alias("j"))
     back = F.from_json("j", "hasPart array<struct<doc_id: long, lang: string, chars: int>>")["hasPart"]
     return whole.select("source", F.explode(back).alias("p")).select("source", "p.doc_id", "p.lang", "p.chars")
 
 
 def best_row_dedupe(spark, d):
     """Best document of each citation: longest text, then has a state, then
-    least id."""
+    least id. Lengths are shuffled, not texts."""
     key = F.upper(F.regexp_replace("official_cite", "[^A-Za-z0-9]", ""))
-    t = _docs(spark, d).where("official_cite is not null").withColumn("k", key)
-    q = [F.length(F.coalesce("text", F.lit(""))), F.col("state_code").isNotNull()]
-    return best_by_key(t.select("k", "doc_id", "text", "state_code"), ["k"], q, F.col("doc_id")).select("k", "doc_id")
+    t = _docs(spark, d).where("official_cite is not null").select(key.alias("k"), "doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n"), F.col("state_code").isNotNull().alias("s"))
+    return best_by_key(t, ["k"], [F.col("n"), F.col("s")], F.col("doc_id")).select("k", "doc_id")
 
 
 def _quality(spark, d, first=None):
@@ -116,7 +117,7 @@ _REF = r"section \d+-\d+-\d+"
 def _edges(spark, d):
     t = _docs(spark, d).where("text is not null")
     cites = t.select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("source_id"), F.explode(F.regexp_extract_all("text", F.lit(_REF), F.lit(0))).alias("r"))
-    cites = cites.select("source_id", F.concat(F.lit("ref:"), F.substring("r", 9, 40)).alias("target_id"), F.lit("cites").alias("edge_type"))
+    cites = cites.select("source_id", F.concat(F.lit("ref:"), F.expr("substring(r, 9)")).alias("target_id"), F.lit("cites").alias("edge_type"))
     state = t.where("state_code is not null").select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("source_id"), F.concat(F.lit("state:"), F.upper("state_code")).alias("target_id"), F.lit("in_state").alias("edge_type"))
     return cites.unionByName(state).where("source_id <> target_id").distinct()
 
@@ -128,7 +129,10 @@ def kg_edges(spark, d):
 
 def kg_nodes(spark, d):
     """Nodes of both ends; the first type of a node stays."""
-    e = _edges(spark, d)
+    return _nodes(write_shared(_edges(spark, d), "kg-edges"))
+
+
+def _nodes(e: DataFrame) -> DataFrame:
     ends = e.select(F.col("source_id").alias("node_id")).unionByName(e.select(F.col("target_id").alias("node_id"))).distinct()
     return ends.select("node_id", F.split_part("node_id", F.lit(":"), F.lit(1)).alias("node_type"))
 
@@ -139,7 +143,8 @@ def kg_stats(spark, d):
 
 def kg_tagged(spark, d):
     """Nodes and edges as one table, each with an identifier of its content."""
-    n, e = kg_nodes(spark, d), _edges(spark, d)
+    e = write_shared(_edges(spark, d), "kg-edges")  # used three times
+    n = _nodes(e)
     null = F.lit(None).cast("string")
     rows = n.select(F.lit("node").alias("record_type"), F.col("node_id").alias("a"), null.alias("b")).unionByName(
         e.select(F.lit("edge").alias("record_type"), F.col("source_id").alias("a"), F.col("target_id").alias("b"))
@@ -174,20 +179,35 @@ def html_title(spark, d):
 
 
 def html_links_query(spark, d):
-    """Absolute links of pages made of the URL table."""
+    """Absolute links of pages made of the fetches: an absolute link, one from
+    the root and one beside the page."""
     from ..sources.readers import html_links
 
-    page = F.concat(F.lit('<p>See <a href="../up?x=1">One  <b>two</b></a> <a href="//cdn.example/a">c</a>'))
-    t = table(spark, d, "url_cid_latest").where("url is not null").select("url", F.explode(html_links(page, F.col("url"))).alias("l"))
-    return t.select("url", F.col("l.url").alias("link"), F.col("l.text").alias("text"))
+    t = table(spark, d, "fetch_result").where("url is not null").select("fetch_id", "url", "archive_url").distinct()
+    page = F.concat(
+        F.lit('<p>See <a href="'), F.coalesce("archive_url", F.lit("")), F.lit('">copy  <b>of it</b></a> <a class="x" href="/root/'), F.col("fetch_id"),
+        F.lit('?a=1">root</a> <a>none</a><a href="beside.html">beside</a><script>var a = "<a href=\'no\'>";</script>'),
+    )
+    base = F.concat(F.regexp_extract("url", r"^([a-zA-Z]+://[^/?#]+)", 1), F.lit("/dir/page.html?q=1"))
+    got = t.select("fetch_id", F.explode(html_links(page, base)).alias("l"))
+    return got.select("fetch_id", F.col("l.url").alias("link"), F.col("l.text").alias("text"))
 
 
 def subsection_tree_query(spark, d):
     return subsection_tree(_docs(spark, d).select("doc_id", "text"), "doc_id", "text").select("doc_id", "path", "depth", "kind")
 
 
+def _planted(spark, d):
+    """A text of numbered parts for each document: every fifth skips a number
+    and every seventh leaves a part empty."""
+    gap, empty = F.col("doc_id") % 5 == 0, F.col("doc_id") % 7 == 0
+    last = [F.when(gap, F.lit(x)).otherwise(F.lit(y)) for x, y in (("(909) z ", "(903) z "), ("(910) ", "(904) "), ("(911) v", "(905) v"))]
+    tail = F.concat(F.lit("\n(901) x (902) y "), last[0], last[1], F.when(empty, "").otherwise("u "), last[2])
+    return _docs(spark, d).select("doc_id", F.concat(F.lit("Head."), tail).alias("text"))
+
+
 def tree_issues_query(spark, d):
-    return tree_issues(subsection_tree(_docs(spark, d).select("doc_id", "text"), "doc_id", "text"), "doc_id")
+    return tree_issues(subsection_tree(_planted(spark, d), "doc_id", "text"), "doc_id")
 
 
 def warning_breakdown(spark, d):
@@ -233,11 +253,17 @@ _SCORE = """case when length(t) >= 1200 then 2 else 0 end + case when length(t)
 _D = "d as (select *, coalesce(text, '') as t from documents)"
 _REASON = "case when t = '' then 'no_text' when trim(t, ' ') = '' then 'blank' when length(t) < 100 then 'short' when source is null then 'no_source' when lang is null then 'no_lang' end"
 _EDGES = f"""e as (select distinct * from (
-      select 'doc:' || doc_id as source_id, 'ref:' || substr(unnest(regexp_extract_all(text, '{_REF}')), 9, 40) as target_id, 'cites' as edge_type from documents where text is not null
+      select 'doc:' || doc_id as source_id, 'ref:' || substr(unnest(regexp_extract_all(text, '{_REF}')), 9) as target_id, 'cites' as edge_type from documents where text is not null
       union all select 'doc:' || doc_id, 'state:' || upper(state_code), 'in_state' from documents where text is not null and state_code is not null))"""
 _NODES = "n as (select distinct node_id, split_part(node_id, ':', 1) as node_type from (select source_id as node_id from e union all select target_id from e))"
 _KEY = "upper(regexp_replace(official_cite, '[^A-Za-z0-9]', '', 'g'))"
 SQL = {
+    "html_links": """with t as (select distinct fetch_id, url, archive_url from fetch_result where url is not null), o as (select *, lower(regexp_extract(url, '^[a-zA-Z]+://', 0)) || regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1) as o from t)
+        select fetch_id, archive_url as link, 'copy of it' as text from o where archive_url <> '' union all select fetch_id, o || '/root/' || fetch_id || '?a=1', 'root' from o
+        union all select fetch_id, o || '/dir/beside.html', 'beside' from o""",
+    "tree_issues": "select doc_id, 'gap' as issue from documents where doc_id % 5 = 0 union all select doc_id, 'empty' from documents where doc_id % 7 = 0",
+    "warning_breakdown": """with i as (select 'gap' as issue from documents where doc_id % 5 = 0 union all select 'empty' from documents where doc_id % 7 = 0)
+        select issue, count(*) as documents from i group by 1""",
     "nested_haspart_explode": "select source, doc_id, lang, length(regexp_replace(coalesce(text, ''), '^[\\s\\p{Z}\\x0b\\x85]+|[\\s\\p{Z}\\x0b\\x85]+$', '', 'g'))::int as chars from documents where source is not null",
     "best_row_dedupe": f"""select {_KEY} as k, doc_id from documents where official_cite is not null
         qualify row_number() over (partition by {_KEY} order by length(coalesce(text, '')) desc, (state_code is not null) desc, doc_id) = 1""",

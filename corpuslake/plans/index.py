@@ -110,9 +110,11 @@ def shard_names(spark, d):
 
 
 def incremental_unprocessed(spark, d):
-    """URLs attempted that no latest state has yet."""
-    done = table(spark, d, "url_cid_latest").select("url")
-    return table(spark, d, "scrape_attempts").select("url").where("url is not null").distinct().join(done, "url", "left_anti")
+    """Index files that the ledger of processed ones lacks. The ledger knows
+    the crawls before 2023."""
+    t = table(spark, d, "domain_index").where("parquet_file is not null")
+    done = t.where("crawl_year < 2023").select("parquet_file")
+    return t.select("parquet_file").distinct().join(done, "parquet_file", "left_anti")
 
 
 def prefer_sorted_variant(spark, d):
@@ -208,7 +210,7 @@ SQL = {
     "domains_global": "select domain, count(distinct cc_collection) as collections, sum(row_count)::bigint as captures from domain_index where domain is not null group by 1",
     "collection_year_filter": "with t as (select *, try_cast(string_split(cc_collection, '-')[3] as int) as year from domain_index where domain is not null) select domain, max(year) as newest, count(distinct cc_collection) as crawls from t where year between 2018 and 2022 group by 1",
     "shard_names": "select format('cdx-{:05d}.gz', i) as shard_file from range(300) t(i)",
-    "incremental_unprocessed": "select distinct url from scrape_attempts a where url is not null and not exists (select 1 from url_cid_latest u where u.url = a.url)",
+    "incremental_unprocessed": "select distinct parquet_file from domain_index t where parquet_file is not null and not exists (select 1 from domain_index u where u.parquet_file = t.parquet_file and u.crawl_year < 2023)",
     "prefer_sorted_variant": """with f as (select distinct parquet_file from domain_index),
         e as (select parquet_file from f union all select regexp_replace(parquet_file, '\\.parquet$', '.sorted.parquet') from f where length(parquet_file) % 2 = 0)
         select regexp_replace(parquet_file, '(\\.sorted)?\\.parquet$', '') as base, coalesce(max(parquet_file) filter (where contains(parquet_file, '.sorted.')), max(parquet_file)) as chosen from e group by 1""",

@@ -48,28 +48,36 @@ def names_similar(spark, d):
 HOT = 1000
 
 
-def names_similar_brand(spark, d):
-    """Pairs of parts of one brand whose names have at least 0.4 of their
-    words in common, or the words of one are among the other's.
-
-    Candidates share a word that is among the rarest of both (so many that 0.4
-    can't be reached without them), or that is the rarest word of one; they are verified
-    exactly. Words of many parts are spread over several tasks.
+def similar_names(names: DataFrame, key: str, scope: str, name: str, least: float) -> DataFrame:
+    """left_key, right_key, similarity of pairs of one scope whose names have
+    at least `least` of their words in common, or the words of one are among
+    the other's.
+
+    Candidates share a word that is among the rarest of both (so many that the
+    share can't be reached without them), or that is the rarest word of one;
+    they are verified exactly. Words of many rows are spread over several
+    tasks. Null and empty names are in no pair.
     """
-    p = table(spark, d, "part").select("p_partkey", "p_brand", F.explode(X.name_tokens(F.col("p_name"))).alias("w"))
-    many = p.groupBy("p_brand", "w").agg(F.count("*").alias("n"))
-    t = p.join(many, ["p_brand", "w"]).groupBy("p_partkey", "p_brand").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("t"))
+    p = names.select(F.col(key).alias("key"), F.col(scope).alias("scope"), F.explode(X.name_tokens(F.col(name))).alias("w"))
+    many = p.groupBy("scope", "w").agg(F.count("*").alias("n"))
+    t = p.join(many, ["scope", "w"]).groupBy("key", "scope").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("t"))
     size = F.size("t")
-    rare = size - F.ceil(size * 0.4 - 1e-9) + 1
-    w = t.select("p_partkey", "p_brand", F.col("t.w").alias("t"), rare.alias("rare"), F.posexplode("t").alias("pos", "x"))
-    w = w.select("p_partkey", "p_brand", "t", "pos", (F.col("pos") < F.col("rare")).alias("rare"), "x.w", F.ceil(F.col("x.n") / HOT).cast("int").alias("salts"))
-    a = w.withColumn("salt", F.pmod(F.xxhash64("p_partkey"), F.col("salts")).cast("int")).alias("a")
+    rare = size - F.ceil(size * least - 1e-9) + 1
+    w = t.select("key", "scope", F.col("t.w").alias("t"), rare.alias("rare"), F.posexplode("t").alias("pos", "x"))
+    w = w.select("key", "scope", "t", "pos", (F.col("pos") < F.col("rare")).alias("rare"), "x.w", F.ceil(F.col("x.n") / HOT).cast("int").alias("salts"))
+    a = w.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int")).alias("a")
     b = w.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("b")
-    same = (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.p_partkey") < F.col("b.p_partkey"))
+    same = (F.col("a.scope") == F.col("b.scope")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.key") < F.col("b.key"))
     near = (F.col("a.rare") & F.col("b.rare")) | (F.col("a.pos") == 0) | (F.col("b.pos") == 0)
     s, i = X.jaccard(F.col("a.t"), F.col("b.t")), F.size(F.array_intersect("a.t", "b.t"))
-    j = a.join(b, same).where(near).where((s >= 0.4) | (i == F.least(F.size("a.t"), F.size("b.t"))))
-    return j.select(F.col("a.p_partkey").alias("left_key"), F.col("b.p_partkey").alias("right_key"), F.round(s, 6).alias("similarity")).distinct()
+    j = a.join(b, same).where(near).where((s >= least) | (i == F.least(F.size("a.t"), F.size("b.t"))))
+    return j.select(F.col("a.key").alias("left_key"), F.col("b.key").alias("right_key"), F.round(s, 6).alias("similarity")).distinct()
+
+
+def names_similar_brand(spark, d):
+    """Pairs of parts of one brand whose names have at least 0.4 of their
+    words in common, or the words of one are among the other's."""
+    return similar_names(table(spark, d, "part"), "p_partkey", "p_brand", "p_name", 0.4)
 
 
 def branch_guess(spark, d):

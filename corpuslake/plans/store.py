@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as X, url as U
-from ..operators.keyed import latest_by_key
+from ..operators.hotkeys import key_quantiles
+from ..operators.keyed import latest_by_key, ranked
 from ..tables import table
 
 
@@ -87,9 +88,12 @@ def status_carry(spark, d):
 
 
 def latency_stats(spark, d):
-    t = table(spark, d, "events").groupBy("event_type")
-    r = lambda c: F.round(c, 6)
-    return t.agg(r(F.min("value")).alias("least"), r(F.max("value")).alias("most"), r(F.avg("value")).alias("mean"), r(F.percentile("value", F.lit(0.5))).alias("median"))
+    """Least, greatest, mean and median of each type; the median comes from
+    refined histograms, so no type's values are gathered."""
+    t = table(spark, d, "events").select("event_type", F.round(F.col("value") * 1_000_000).cast("long").alias("v"))
+    q = key_quantiles(t, "event_type", "v", [lambda n: F.floor((n + 1) / 2), lambda n: F.floor(n / 2) + 1])
+    r = lambda c: F.round(c / 1e6, 6)
+    return q.select(F.col("key").alias("event_type"), r(F.col("low")).alias("least"), r(F.col("high")).alias("most"), r(F.col("total") / F.col("n")).alias("mean"), r((F.col("q")[0] + F.col("q")[1]) / 2).alias("median"))
 
 
 def run_compare(spark, d):
@@ -145,8 +149,7 @@ def coverage_ratio(spark, d):
 def batch_assign(spark, d):
     """Fixed-size batches of the sorted URLs of each shard."""
     t = table(spark, d, "url_cid_latest").select("url", U.shard(F.col("url"), 7).alias("shard"))
-    w = Window.partitionBy("shard").orderBy("url")
-    return t.select("url", "shard", F.floor((F.row_number().over(w) - 1) / 25).cast("int").alias("batch"))
+    return ranked(t, ["shard"], ["url"], "n").select("url", "shard", F.floor((F.col("n") - 1) / 25).cast("int").alias("batch"))
 
 
 def status_classify(spark, d):

@@ -56,17 +56,38 @@ def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return lines.select(F.from_json("value", schema).alias("j"), "value").where(F.try_parse_json("value").isNotNull() & F.trim("value").startswith("{")).select("j.*")
 
 
+#: Files up to so many bytes may be read whole as one JSON value.
+WHOLE = 64 << 20
+
+
 def json_records(spark: SparkSession, path: str) -> DataFrame:
-    """file_path, line_no, record (JSON text) of files that hold a list, an
-    object, an object with `hasPart`, or one object a line. The order in the
-    file is kept as line_no; lines that are no JSON object are dropped."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
-    files = files.select(F.col("_metadata.file_path").alias("file_path"), F.trim("value").alias("v"))
-    parsed = F.try_parse_json("v")
-    part = F.coalesce(F.try_variant_get(parsed, "$.hasPart", "array<variant>"), F.try_variant_get(parsed, "$", "array<variant>"), F.when(parsed.isNotNull(), F.array(parsed)))
-    listed = F.transform(part, lambda x: F.to_json(x))
-    lines = F.filter(F.split("v", "\n"), lambda x: F.trim(x) != "")
-    rows = files.select("file_path", F.posexplode(F.coalesce(listed, lines)).alias("line_no", "record"))
+    """file_path, record (JSON text) of files that hold a list, an object, an
+    object with `hasPart`, or one object a line. Lines and items that are no
+    JSON object are dropped.
+
+    Files of at most WHOLE bytes are read as one value. Larger ones are read
+    by lines, so no task holds one; a larger file must have an object, or an
+    item of its list, on each line (a comma at its end is taken off).
+    """
+    found = files(spark, path)
+    listed = found.select("path", (F.col("length") <= WHOLE).alias("small")).collect()  # names of files only
+    small, large = [r.path for r in listed if r.small], [r.path for r in listed if not r.small]
+    parts = []
+    if small:
+        whole = spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), F.trim("value").alias("v"))
+        lines = F.filter(F.split("v", "\n"), lambda x: F.trim(x) != "")
+        # The parser ignores what follows a value, so several lines of which
+        # the first is a value of its own are not parsed as one.
+        by_line = (F.size(lines) > 1) & F.try_parse_json(F.try_element_at(lines, F.lit(1))).isNotNull()
+        parsed = F.when(~by_line, F.try_parse_json("v"))
+        part = F.coalesce(F.try_variant_get(parsed, "$.hasPart", "array<variant>"), F.try_variant_get(parsed, "$", "array<variant>"), F.when(parsed.isNotNull(), F.array(parsed)))
+        items = F.transform(part, lambda x: F.to_json(x))
+        parts.append(whole.select("file_path", F.explode(F.coalesce(items, lines)).alias("record")))
+    if large:
+        parts.append(spark.read.text(large).select(F.col("_metadata.file_path").alias("file_path"), F.regexp_replace(F.trim("value"), ",$", "").alias("record")))
+    if not parts:
+        return spark.createDataFrame([], "file_path string, record string")
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return rows.where(F.try_parse_json("record").isNotNull() & F.trim("record").startswith("{"))
 
 
@@ -88,6 +109,39 @@ def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return found.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def row_groups(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """path, row_group, rows, bytes, low, high (as text) of each row group by
+    the files' footers, read where the executors are. Files that can't be read
+    are left out."""
+
+    def read(batches):
+        import io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        schema = pa.schema([("path", pa.string()), ("row_group", pa.int32()), ("rows", pa.int64()), ("bytes", pa.int64()), ("low", pa.string()), ("high", pa.string())])
+        for b in batches:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                out = []
+                try:
+                    meta = pq.read_metadata(io.BytesIO(content) if content is not None else name.removeprefix("file:"))
+                except (OSError, pa.ArrowInvalid):
+                    continue
+                at = meta.schema.names.index(column)
+                for i in range(meta.num_row_groups):
+                    g = meta.row_group(i)
+                    s = g.column(at).statistics
+                    known = s is not None and s.has_min_max
+                    out.append({"path": name, "row_group": i, "rows": g.num_rows, "bytes": g.total_byte_size, "low": str(s.min) if known else None, "high": str(s.max) if known else None})
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    # A local file's footer is read in place; elsewhere the file is fetched.
+    content = F.when(~F.col("path").startswith("file:"), F.col("content"))
+    return found.select("path", content.alias("content")).mapInArrow(read, "path string, row_group int, rows long, bytes long, low string, high string")
+
+
 class _Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -159,6 +213,12 @@ def warc_body(member: pd.Series) -> pd.Series:
     return member.map(one)
 
 
+@F.pandas_udf(T.BinaryType())
+def deflate(raw: pd.Series) -> pd.Series:
+    """Bytes packed as a gzip member."""
+    return raw.map(lambda b: None if b is None else gzip.compress(b, 1, mtime=0))
+
+
 @F.pandas_udf(T.BinaryType())
 def inflate(raw: pd.Series) -> pd.Series:
     """gzip or deflate bytes unpacked by their header; others as they are."""
@@ -181,5 +241,3 @@ def inflate(raw: pd.Series) -> pd.Series:
 def looks_like_html(raw: Column) -> Column:
     return F.lower(F.decode(F.substring(raw, 1, 512), "ISO-8859-1")).rlike(r"<(?:!doctype html|html|head|body|title)")
 
-
-DOCUMENT = T.StructType([T.StructField(n, T.StringType()) for n in ("identifier", "name", "text", "url")])

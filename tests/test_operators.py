@@ -167,6 +167,6 @@ def test_sinks(spark, tmp_path):
     sinks.parquet(df, str(tmp_path / "p"), sort=["k"])
     sinks.by_key(df, str(tmp_path / "k"), "k")
     sinks.jsonl(df, str(tmp_path / "j"))
-    sinks.manifest({"n": 3}, str(tmp_path / "m.json"))
+    sinks.manifest(spark, {"n": 3}, str(tmp_path / "m.json"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == spark.read.parquet(str(tmp_path / "k")).count() == spark.read.json(str(tmp_path / "j")).count() == 3
     assert json.loads((tmp_path / "m.json").read_text()) == {"n": 3}
