@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as X, url as U
 from ..operators.keyed import numbered
-from ..operators.vectors import top_k
+from ..operators.vectors import index_top_k, top_k
 from ..tables import table
 
 
@@ -27,6 +27,19 @@ def cosine_topk(spark, d):
     return top_k(v, v.where("vec_id % 20 = 0"), "vec_id", "n", 5).select("query_id", F.col("id").alias("vec_id"), "rank", F.round("score", 4).alias("score"))
 
 
+def vector_index_topk(spark, d):
+    """The five nearest of every vector whose id is divisible by 20, by the
+    index over all vectors."""
+    v = table(spark, d, "embeddings").select("vec_id", X.l2_normalise(F.col("embedding")).alias("n"))
+    return index_top_k(v, v.where("vec_id % 20 = 0"), "vec_id", "n", 5).select("query_id", F.col("id").alias("vec_id"), "rank", F.round("score", 4).alias("score"))
+
+
+def vector_index_exact(spark, d):
+    """The same with every list probed: equal to exact search."""
+    v = table(spark, d, "embeddings").select("vec_id", X.l2_normalise(F.col("embedding")).alias("n"))
+    return index_top_k(v, v.where("vec_id % 20 = 0"), "vec_id", "n", 5, probes=64).select("query_id", F.col("id").alias("vec_id"), "rank", F.round("score", 4).alias("score"))
+
+
 def embed_join_labels(spark, d):
     v = table(spark, d, "embeddings").select("vec_id", "label", F.round(X.dot(F.col("embedding"), F.col("embedding")), 4).alias("energy"))
     return v.join(table(spark, d, "doc_labels").select(F.col("doc_id").alias("vec_id"), "abusive"), "vec_id", "left")
@@ -133,7 +146,7 @@ def customer_orders(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        l2_normalize, vector_ids, cosine_topk, embed_join_labels, names_similar, names_similar_brand, branch_guess, entity_merge, warc_pointer_rank, portal_rank, gap_sets, customer_orders,
+        l2_normalize, vector_ids, cosine_topk, vector_index_topk, vector_index_exact, embed_join_labels, names_similar, names_similar_brand, branch_guess, entity_merge, warc_pointer_rank, portal_rank, gap_sets, customer_orders,
     )
 }
 
@@ -147,6 +160,7 @@ SQL = {
     "cosine_topk": """with v as (select vec_id, embedding::double[] as e, sqrt(list_inner_product(embedding::double[], embedding::double[])) as s from embeddings),
         p as (select q.vec_id as query_id, v.vec_id, list_inner_product(q.e, v.e) / (q.s * v.s) as score from v q, v where q.vec_id % 20 = 0),
         r as (select *, row_number() over (partition by query_id order by round(score, 9) desc, vec_id) as rank from p) select query_id, vec_id, rank, round(score, 4) as score from r where rank <= 5""",
+    "vector_index_exact": "",
     "embed_join_labels": "select vec_id, label, round(list_inner_product(embedding::double[], embedding::double[]), 4) as energy, abusive from embeddings left join doc_labels on doc_id = vec_id",
     "names_similar": """with p as (select p_partkey, p_brand, p_size, list_distinct(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda x: x not in ('', 'the', 'of', 'and', 'for', 'a'))) as t from part),
         j as (select a.p_partkey as l, b.p_partkey as r, len(list_intersect(a.t, b.t)) as i, len(a.t) + len(b.t) as n from p a join p b on a.p_brand = b.p_brand and a.p_size = b.p_size and a.p_partkey < b.p_partkey)
@@ -166,3 +180,4 @@ SQL = {
         select host, 'not_fetched' as gap from a where host not in (select host from b) union all select host, 'not_attempted' from b where host not in (select host from a)""",
     "customer_orders": "select c_custkey, c_nationkey, max(o_orderkey) as newest, count(o_orderkey) as orders from customer left join orders on o_custkey = c_custkey group by 1, 2",
 }
+SQL["vector_index_exact"] = SQL["cosine_topk"]

@@ -2,8 +2,10 @@
 folder; record files too large to read whole."""
 
 import json
+import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +143,33 @@ def test_cdx_files_and_packed_bytes(spark, tmp_path):
     df = spark.createDataFrame([(bytearray(x),) for x in (gzip.compress(b"one"), zlib.compress(b"two"), b"<!DOCTYPE html><p>", b"")] + [(None,)], "b binary")
     assert [r[0] and bytes(r[0]) for r in df.select(readers.inflate("b")).collect()] == [b"one", b"two", b"<!DOCTYPE html><p>", b"" or bytearray(), None]
     assert [r[0] for r in df.select(readers.looks_like_html(F.col("b"))).collect()][2:] == [True, False, None]
+
+
+def test_vector_index_recall_and_hot_lists(spark, monkeypatch):
+    """Against exact search: all lists probed give the same; as many as the
+    fit asks for at least 0.9. One list holds a third of all vectors and is split."""
+    from corpuslake.operators import vectors
+
+    monkeypatch.setattr(vectors, "BLOCK", 60)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(30, 16))
+    data = np.concatenate([centres[0] + 0.1 * rng.normal(size=(500, 16)), centres[rng.integers(0, 30, 1000)] + 0.4 * rng.normal(size=(1000, 16))])
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(data)] + [(9000, None), (9001, []), (None, data[0].tolist())]
+    df = spark.createDataFrame(rows, "id long, v array<double>").withColumn("list", F.lit(0))
+    asked = df.where("id % 20 = 0")
+    pick = lambda x: {(r.query_id, r.id) for r in x.collect()}
+    exact = pick(vectors.top_k(df.where("id is not null"), asked, "id", "v", 5))
+    assert pick(vectors.index_top_k(df, asked, "id", "v", 5, lists=32, probes=32)) == exact
+    near = pick(vectors.index_top_k(df, asked, "id", "v", 5, lists=32))
+    assert len(near & exact) >= 0.9 * len(exact) and 1 <= vectors.fit_index(df, "id", "v", 32)[1] < 16
+    assert vectors.index_top_k(df.limit(0), asked, "id", "v", 5).count() == 0
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="no test tables here")
+def test_vector_index_recall_on_the_test_vectors(spark):
+    from corpuslake.plans import catalog
+
+    pick = lambda name: {(r.query_id, r.vec_id) for r in catalog.QUERIES[name](spark, "/root/testdata/sf0.01").collect()}
+    near, exact = pick("vector_index_topk"), pick("cosine_topk")
+    assert len(near & exact) >= 0.9 * len(exact)
