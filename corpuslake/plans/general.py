@@ -63,7 +63,53 @@ QUERIES = {"p5_found": p5_found, "p7_found": p7_found, "p7_quantiles": p7_quanti
 _PLAIN = r"regexp_replace(regexp_replace(lower(trim(domain)), '^www\.', ''), '\.$', '')"
 _CAPTURES = f"select nullif({_PLAIN}, '') as domain, row_count from (select distinct * from domain_index)"
 
+def _instants_sql() -> str:
+    """The instants by SQL: each format's parts by its pattern, the calendar
+    and the zones by the database."""
+    import re
+
+    from ..operators.timestamps import _CAPTURE, MONTHS, ZONE_MINUTES, _formats
+
+    white = "[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]"
+    values = f"""v as (select distinct t, i, f, regexp_replace(x, '^{white}+|{white}+$', '', 'g') as x, tz, stop, cap from (
+        select 'fetch_result' as t, fetch_id as i, 'fetched_at' as f, fetched_at as x, z.tz_name as tz, null::timestamptz as stop, false as cap from fetch_result left join z using (worker_id)
+        union all select 'fetch_result', fetch_id, 'archive_timestamp', archive_timestamp, 'UTC', null, true from fetch_result
+        union all select 'scrape_attempts', attempt_id, 'started_at', started_at, z.tz_name, finished_at::timestamptz, false from scrape_attempts left join z using (worker_id)) where x is not null)"""
+    parts = []
+    for n, (letter, pattern) in enumerate([_CAPTURE, *_formats()]):
+        names = list(re.compile(pattern).groupindex)
+        groups = "[" + ", ".join(f"'{x}'" for x in names) + "]"
+        full = "(?i)^(?:" + pattern.replace("'", "''") + ")$"
+        at = {x[1:]: f"g.{x}" for x in names}
+        get = lambda k, at=at: at.get(k, "''")
+        epoch = {"u": ("us", 1_000_000), "v": ("vs", 1000), "w": ("ws", 1)}.get(letter)
+        direct = f"try_cast(g.{epoch[0]} as hugeint) * {epoch[1]}" + (" + try_cast(rpad(substr(g.uf, 1, 6), 6, '0') as hugeint)" if letter == "u" else "") if epoch else "null::hugeint"
+        cols = ", ".join(f"{get(k) if not epoch else repr('')} as p_{k}" for k in "ymdhnsfzip")
+        parts.append(f"select {n} as form, t, i, f, x, tz, stop, cap, {cols}, {direct} as direct from (select *, regexp_extract(x, '{full}', {groups}) as g from v where regexp_matches(x, '{full}'){' and cap' if n == 0 else ''})")
+    month = "case " + " ".join(f"when starts_with(lower(p_m), '{m}') then {i + 1}" for i, m in enumerate(MONTHS)) + " else try_cast(p_m as int) end"
+    minutes = "case lower(p_z) " + " ".join(f"when '{z}' then {m}" for z, m in ZONE_MINUTES.items()) + " end"
+    return f"""with z as (select worker_id, min(tz_name) as tz_name from worker_zone group by 1), {values},
+        p as (select * from ({" union all ".join(parts)}) qualify row_number() over (partition by t, i, f, x, tz, stop order by form) = 1),
+        c as (select *, try_cast(p_y as int) as y, case when p_m = '' then 1 else {month} end as mo, case when p_d = '' then 1 else try_cast(p_d as int) end as d,
+          case when p_p <> '' then case when try_cast(p_h as int) between 1 and 12 then try_cast(p_h as int) % 12 + case when lower(p_p) = 'p' then 12 else 0 end end
+            when p_h = '' then case when cap then 0 end else try_cast(p_h as int) end as h,
+          case when p_n = '' then 0 else try_cast(p_n as int) end as n, case when p_s = '' then 0 else try_cast(p_s as int) end as s,
+          case when p_f = '' then 0 else try_cast(rpad(substr(p_f, 1, 6), 6, '0') as int) end as us from p),
+        w as (select *, case when h between 0 and 23 and n <= 59 and s <= 59 then try_cast(format('{{:04d}}-{{:02d}}-{{:02d}} {{:02d}}:{{:02d}}:{{:02d}}.{{:06d}}', y, mo, d, h, n, s, us) as timestamp) end as wall,
+          case when regexp_matches(p_z, '^[+-]') then case when p_z[1] = '-' then -1 else 1 end * (p_z[2:3]::int * 60 + coalesce(nullif(replace(p_z, ':', '')[4:5], '')::int, 0)) else {minutes} end as shift,
+          case when p_i <> '' then p_i else tz end as place from c),
+        b as (select *, case when p_z = '' and place is not null then wall at time zone place end as one from w where direct is null),
+        e as (select *, (one - interval 1 hour) as early, (one + interval 1 hour) as late from b),
+        r as (select *, case when (early at time zone place) = wall then early else one end as first, case when (late at time zone place) = wall then late else one end as second from e),
+        o as (select t, i, f, direct::bigint as utc_us from p where direct is not null
+          union all select t, i, f, epoch_us(wall) - shift::bigint * 60000000 from w where direct is null and p_z <> '' and wall is not null and shift is not null
+          union all select t, i, f, epoch_us(case when stop - second >= interval 0 minute and stop - second <= interval 15 minute and not (stop - first >= interval 0 minute and stop - first <= interval 15 minute) then second else first end)
+            from r where wall is not null and (one at time zone place) = wall)
+        select distinct t as rec_table, i as rec_key, f as field_name, utc_us from o where utc_us is not null"""
+
+
 SQL = {
+    "p5_found": _instants_sql(),
     "p7_found": f"""
         with c as ({_CAPTURES})
         select domain from c where domain is not null group by domain

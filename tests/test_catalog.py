@@ -1,4 +1,4 @@
-"""Every core query against its SQL, and without SQL at least its shape."""
+"""Every core query against its SQL; the few without by their values."""
 
 import os
 
@@ -17,10 +17,19 @@ def test_query_is_its_sql(spark, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL)))
-def test_query_runs(spark, name):
-    df = catalog.QUERIES[name](spark, FOLDER)
-    assert df.columns and df.count() >= 0
+def test_what_has_no_sql():
+    assert set(catalog.QUERIES) - set(catalog.SQL) == {"subsection_tree", "vector_index_topk"}
+    assert set(catalog.SQL) <= set(catalog.QUERIES) and all(catalog.SQL.values())
+
+
+def test_subsection_tree_holds_every_marked_part(spark):
+    from corpuslake.operators.documents import subsections
+
+    got = {}
+    for r in catalog.QUERIES["subsection_tree"](spark, FOLDER).collect():
+        got.setdefault(r.doc_id, []).append((r.path, r.depth, r.kind))
+    docs = spark.read.parquet(FOLDER + "/documents.parquet").collect()
+    assert {d.doc_id: sorted((x["path"], x["depth"], x["kind"]) for x in subsections(d.text)) for d in docs} == {k: sorted(v) for k, v in got.items()}
 
 
 def test_flagship(spark):
