@@ -154,17 +154,19 @@ def split_urls(spark, d):
 
 
 def bfs_hops(spark, d, hops: int = 2):
-    """Hosts within two steps of the largest host, over hosts that share a
-    content size class. Each step joins only the frontier and drops what was reached."""
+    """Documents and citations within some steps of the most cited section,
+    over the citation links both ways. Each step joins only the frontier and
+    drops what was reached."""
     from ..session import write_shared
+    from .corpus import kg_edges
 
-    t = _urls(spark, d).where("last_content_bytes is not null").select("host_rev", F.floor(F.col("last_content_bytes") / 64).alias("size")).distinct()
-    start = t.groupBy("host_rev").count().orderBy(F.desc("count"), "host_rev").limit(1).select("host_rev", F.lit(0).alias("hop"))
+    e = kg_edges(spark, d).where("edge_type = 'cites'").select(F.col("source_id").alias("u"), F.col("target_id").alias("v"))
+    start = e.groupBy("v").count().orderBy(F.desc("count"), "v").limit(1).select(F.col("v").alias("node_id"), F.lit(0).alias("hop"))
+    links = write_shared(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))), "bfs-links")
     seen = write_shared(start, "bfs")
     front = seen
     for hop in range(1, hops + 1):
-        shared = front.select("host_rev").join(t, "host_rev").select("size").distinct()
-        nxt = t.join(shared, "size").select("host_rev").distinct().join(seen, "host_rev", "left_anti")
+        nxt = links.join(front.select(F.col("node_id").alias("u")), "u").select(F.col("v").alias("node_id")).distinct().join(seen, "node_id", "left_anti")
         front = write_shared(nxt.withColumn("hop", F.lit(hop)), "bfs")
         seen = seen.unionByName(front)
     return seen
@@ -223,8 +225,8 @@ SQL = {
         select * from r where place <= 3""",
     "shard_assign": "select url, (('0x' || substr(sha256(url), 1, 16))::ubigint % 7)::int as shard from url_cid_latest",
     "split_urls": "with t as (select distinct fetch_id, concat_ws(', ', url, archive_url) as t from fetch_result) select distinct fetch_id, unnest(regexp_extract_all(t, 'https?://[^\\s,;]+')) as found from t",
-    "bfs_hops": f"""with recursive t as (select distinct host_rev, last_content_bytes // 64 as size from ({_URLS}) where last_content_bytes is not null),
-        b as (select host_rev, 0 as hop from (select host_rev from t group by 1 order by count(*) desc, host_rev limit 1) union
-          select y.host_rev, b.hop + 1 from b join t x on x.host_rev = b.host_rev join t y on y.size = x.size where b.hop < 2)
-        select host_rev, min(hop) as hop from b group by 1""",
+    "bfs_hops": """with recursive e as (select distinct 'doc:' || doc_id as u, 'ref:' || substr(unnest(regexp_extract_all(text, 'section \\d+-\\d+-\\d+')), 9) as v from documents where text is not null),
+        l as (select u, v from e union select v, u from e),
+        b as (select v as node_id, 0 as hop from (select v from e group by 1 order by count(*) desc, v limit 1) union select l.v, b.hop + 1 from b join l on l.u = b.node_id where b.hop < 2)
+        select node_id, min(hop) as hop from b group by 1""",
 }

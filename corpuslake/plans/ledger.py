@@ -270,8 +270,33 @@ def fetched_unlisted(spark, d):
     return table(spark, d, "url_cid_latest").where("url is not null").select("url").distinct().join(done, "url", "left_anti")
 
 
+def cross_totals(spark, d):
+    """Totals over the tables of several workers, and their difference to the
+    first in percent."""
+    part = lambda name, w, n: table(spark, d, name).select(F.lit(name).alias("store"), F.col(w).alias("worker"), F.col(n).alias("bytes"))
+    t = part("scrape_attempts", "worker_id", "content_bytes").unionByName(part("fetch_result", "worker_id", "content_bytes"))
+    g = t.groupBy("worker").agg(F.count_if(F.col("store") == "scrape_attempts").alias("attempts"), F.count_if(F.col("store") == "fetch_result").alias("fetches"), F.sum("bytes").alias("bytes"))
+    return g.withColumn("change_percent", F.when(F.col("attempts") > 0, F.round((F.col("fetches") - F.col("attempts")) * 100.0 / F.col("attempts"), 6)))
+
+
+def resolve_bounded(spark, d):
+    """Pointers of each domain: those of its newest year only, at most three
+    of each collection, and at most ten in all."""
+    t = _index(spark, d).where("domain is not null and crawl_year is not null and cc_collection is not null").select(F.lower("domain").alias("domain"), "crawl_year", "cc_collection", "parquet_file", "row_offset", "row_count").distinct()
+    newest = t.groupBy("domain").agg(F.max("crawl_year").alias("crawl_year"))
+    t = t.join(newest, ["domain", "crawl_year"])
+    order = [F.col("row_count").desc_nulls_last(), F.col("parquet_file").asc_nulls_last(), F.col("row_offset").asc_nulls_last()]
+    own = ranked(t, ["domain", "cc_collection"], order, "n").where("n <= 3")
+    return ranked(own, ["domain"], [*order, F.col("cc_collection").asc()], "place").where("place <= 10").select("domain", "place", "row_count")
+
+
+def kind_filter(spark, d):
+    """Sites of one kind of the inventory only, with a confidence of two thirds."""
+    return agency_inventory(spark, d).where("kind = 'law' and confidence >= 0.6").select("host", "slug")
+
+
 _QUERIES = (
-    stage_state, stage_query, run_signature, resume_batches, ttl_cache, timeouts, retry_times, stalled_states, pending_report, discovery_summary,
+    cross_totals, resolve_bounded, kind_filter, stage_state, stage_query, run_signature, resume_batches, ttl_cache, timeouts, retry_times, stalled_states, pending_report, discovery_summary,
     finished_pending, manifest_requested, missing_conversions, meta_two_hop, layout_dispatch, exact_url_preferred, search_by_year, budget_files,
     limit_collections, recency_order, latest_collections, file_status, sort_verify, url_more_parts, agency_paths, agency_inventory, portal_seeds,
     names_match, fetched_unlisted,
@@ -285,6 +310,14 @@ _SEED = "regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '([^:
 _SITE = f"array_to_string(list_slice(string_split({_H}, '.'), -(case when ends_with({_H}, '.us') then 3 else 2 end), -1), '.')"
 _STAGE = "s as (select user_id, event_type, count(*) as events, arg_max(event_id, (ts, event_id)) as event_id, case when arg_max(value, (ts, event_id)) < 10 then 'failed' else 'done' end as state from events group by all)"
 SQL = {
+    "cross_totals": """with t as (select 'a' as s, worker_id as worker, content_bytes as bytes from scrape_attempts union all select 'f', worker_id, content_bytes from fetch_result),
+        g as (select worker, count_if(s = 'a')::bigint as attempts, count_if(s = 'f')::bigint as fetches, sum(bytes)::bigint as bytes from t group by 1)
+        select *, case when attempts > 0 then round((fetches - attempts) * 100.0 / attempts, 6)::double end as change_percent from g""",
+    "resolve_bounded": f"""with {_I}, t as (select distinct lower(domain) as domain, crawl_year, cc_collection, parquet_file, row_offset, row_count from i where domain is not null and crawl_year is not null and cc_collection is not null),
+        y as (select * from t qualify crawl_year = max(crawl_year) over (partition by domain)),
+        o as (select * from y qualify row_number() over (partition by domain, cc_collection order by row_count desc nulls last, parquet_file nulls last, row_offset nulls last) <= 3)
+        select domain, row_number() over (partition by domain order by row_count desc nulls last, parquet_file nulls last, row_offset nulls last, cc_collection) as place, row_count from o qualify place <= 10""",
+    "kind_filter": "",
     "stage_state": f"with {_STAGE} select * from s",
     "stage_query": f"with {_STAGE} select user_id from s where event_type = 'purchase' and state = 'failed'",
     "run_signature": """with t as (select sha256(url || '|' || coalesce(method_used, '')) as signature, lower(trim(status)) as status from scrape_attempts where url is not null)
@@ -344,3 +377,4 @@ SQL = {
         select l as left_key, r as right_key, round(i::double / (n - i), 6) as similarity from j where i > 0 and (i::double / (n - i) >= 0.6 or i = k)""",
     "fetched_unlisted": "select distinct url from url_cid_latest where url is not null and url not in (select url from fetch_result where url is not null)",
 }
+SQL["kind_filter"] = f"select host, slug from ({SQL['agency_inventory']}) where kind = 'law' and confidence >= 0.6"

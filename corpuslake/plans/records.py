@@ -247,8 +247,70 @@ def canonical_nodes(spark, d):
     return kg_nodes(spark, d).where(F.col("node_id").startswith("ref:")).select("node_id")
 
 
+def kg_first_nodes(spark, d):
+    """Nodes with the type of their first appearance, by document and then by
+    the order of what it names: itself, its state, what it cites."""
+    t = _docs(spark, d).where("text is not null")
+    named = F.array(F.struct(F.concat(F.lit("doc:"), "doc_id").alias("node_id"), F.coalesce("doc_kind", F.lit("document")).alias("node_type")))
+    state = F.when(F.col("state_code").isNotNull(), F.array(F.struct(F.concat(F.lit("state:"), F.upper("state_code")).alias("node_id"), F.lit("state").alias("node_type")))).otherwise(F.array())
+    cites = F.transform(F.regexp_extract_all("text", F.lit(r"section \d+-\d+-\d+"), F.lit(0)), lambda x: F.struct(F.concat(F.lit("ref:"), F.regexp_replace(x, "^section ", "")).alias("node_id"), F.coalesce("doc_kind", F.lit("document")).alias("node_type")))
+    e = t.select("doc_id", F.posexplode(F.concat(named, state, cites)).alias("pos", "n")).select("doc_id", "pos", "n.*")
+    return e.groupBy("node_id").agg(F.min_by("node_type", F.struct("doc_id", "pos")).alias("node_type"))
+
+
+def key_fallback(spark, d):
+    """Key of each record: from its identifier, else its name, else its
+    address, by one pattern; none without any."""
+    parts = [F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), r"(\d{3})[^0-9]?(\d{3})[^0-9]?(\d{4})", 0), F.lit("")) for c in (F.col("identifier"), F.col("legislationIdentifier"), F.col("name"), F.col("url"))]
+    return _rows(spark, d).select("candidate_id", F.regexp_replace(F.coalesce(*parts), "[^0-9]", "").alias("key"))
+
+
+def payload_merge(spark, d):
+    """New payloads over what is there: a field that is there stays."""
+    old = _rows(spark, d).select("candidate_id", F.nullif(X.norm(F.col("name")), F.lit("")).alias("name"), "effective_date")
+    new = _rows(spark, d).select("candidate_id", F.col("title").alias("new_name"), F.lit("2024-01-01").alias("new_date"))
+    return old.join(new, "candidate_id").select("candidate_id", F.coalesce("name", "new_name").alias("name"), F.coalesce("effective_date", "new_date").alias("effective_date"))
+
+
+def hashed_encoder(texts: list[str | None], size: int = 32):
+    """A stand-in for an embedding model: counts of hashed words, over their
+    length; all zero without words."""
+    import hashlib
+
+    import numpy as np
+
+    out = np.zeros((len(texts), size))
+    for i, t in enumerate(texts):
+        for w in (t or "").lower().split():
+            out[i, hashlib.md5(w.encode()).digest()[0] % size] += 1
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+
+def embed_texts(df: DataFrame, text: str, out: str, encoder=hashed_encoder) -> DataFrame:
+    """df with, in place of text, its vector by an encoder (a function from a
+    list of texts to rows of numbers), batch by batch; one may load its model
+    on first use. Null texts are encoded as the encoder says."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    def run(batches):
+        for b in batches:
+            rows = encoder(b.column(b.schema.get_field_index(text)).to_pylist())
+            yield b.drop_columns([text]).append_column(out, pa.array([list(map(float, r)) for r in rows], pa.list_(pa.float64())))
+
+    if out in df.columns and out != text:
+        raise ValueError(f"{out} exists")
+    return df.mapInArrow(run, T.StructType([*(f for f in df.schema.fields if f.name != text), T.StructField(out, T.ArrayType(T.DoubleType()))]))
+
+
+def embed_documents(spark, d):
+    """Length and words' share of each document's vector."""
+    v = embed_texts(_docs(spark, d).select("doc_id", "text"), "text", "v")
+    return v.select("doc_id", F.size("v").alias("dimensions"), F.round(X.dot(F.col("v"), F.col("v")), 6).alias("norm"))
+
+
 _QUERIES = (
-    state_select, leak_guard, candidate_paths, alternative_names, state_infer, text_quality_tuple, best_quality_row, court_quality, jurisdiction_infer,
+    kg_first_nodes, key_fallback, payload_merge, embed_documents, state_select, leak_guard, candidate_paths, alternative_names, state_infer, text_quality_tuple, best_quality_row, court_quality, jurisdiction_infer,
     stable_ids, digest_ids, canonical_cid, cid_index, score_sort, section_sort, cid_sort, title_sort, rows_by_key, list_clean, json_links, kg_rows,
     defaults_fill, chapter_slug, title_line, chapter_range, line_counts, canonical_nodes,
 )
@@ -276,6 +338,14 @@ def _q(t: str) -> str:
 
 _LOW = "lower(coalesce(text, ''))"
 SQL = {
+    "kg_first_nodes": """with t as (select doc_id, text, state_code, coalesce(doc_kind, 'document') as kind from documents where text is not null),
+        l as (select doc_id, regexp_extract_all(text, 'section \\d+-\\d+-\\d+') as l, kind from t),
+        e as (select doc_id, 0 as pos, 'doc:' || doc_id as node_id, kind as node_type from t union all select doc_id, 1, 'state:' || upper(state_code), 'state' from t where state_code is not null
+          union all select doc_id, 1 + i, 'ref:' || substr(l[i], 9), kind from (select doc_id, l, kind, unnest(range(1, len(l) + 1)) as i from l))
+        select node_id, arg_min(node_type, (doc_id, pos)) as node_type from e group by 1""",
+    "key_fallback": "select candidate_id, regexp_replace(coalesce(" + ", ".join(f"nullif(regexp_extract(coalesce(row_json->>'{n}', ''), '(\\d{{3}})[^0-9]?(\\d{{3}})[^0-9]?(\\d{{4}})', 0), '')" for n in ("identifier", "legislationIdentifier", "name", "url")) + "), '[^0-9]', '', 'g') as key from candidate_row",
+    "payload_merge": "select candidate_id, coalesce(nullif(trim(row_json->>'name', ' \t\n\r '), ''), row_json->>'title') as name, coalesce(row_json->>'effective_date', '2024-01-01') as effective_date from candidate_row",
+    "embed_documents": "select doc_id, 32 as dimensions, case when regexp_matches(coalesce(text, ''), '[^\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]') then 1.0 else 0.0 end::double as norm from documents",
     "state_select": "select candidate_id, list_position(['ME', 'KS', 'PA', 'CA', 'VT'], upper(trim(state)))::int as place from candidate_row where upper(trim(state)) in ('ME', 'KS', 'PA', 'CA', 'VT')",
     "leak_guard": f"""with t as (select source_file, coalesce((case when regexp_matches(upper(trim(state)), '^[A-Z]{{2}}$') then upper(trim(state)) end) <> {_FILE_STATE}, false) as leak from candidate_row)
         select source_file, count_if(not leak)::bigint as kept, count_if(leak)::bigint as dropped from t group by 1""",
