@@ -29,8 +29,13 @@ MOST_PAGES, MOST_UNLABELLED = 20_000, 4_000
 #: Chance before any word that a passage is positive: of a record with a
 #: trusted sign, of one that a status calls failed, of any other.
 SIGNED_PRIOR, FAILED_PRIOR, OTHER_PRIOR = 0.9, 0.5, 0.02
-#: Smoothing: occurrences that each word has besides.
-SMOOTH = 0.05
+#: Share of the records without any sign that may come out positive; beyond it
+#: the statuses are believed half as much and training begins again.
+MOST_POSITIVE = 0.25
+#: Smoothing: passages of all that each word is in besides, in the shares of
+#: the classes; so a word that neither has yet speaks for neither, however few
+#: passages a class has.
+SMOOTH = 1.5
 
 # The trusted wordings and filler words.
 WORDING = re.compile(
@@ -139,8 +144,9 @@ def train(d: Words, prior: np.ndarray, weight: np.ndarray, settled: float = 1e-3
     w, held = weight[d.owner], np.zeros(d.count, bool)
     for round_ in range(most_rounds):
         one, zero = np.bincount(d.flat, (w * post)[d.at], _SIZE), np.bincount(d.flat, (w * (1 - post))[d.at], _SIZE)
-        odds = np.log((one + SMOOTH) / ((w * post).sum() + 1)) - np.log((zero + SMOOTH) / ((w * (1 - post)).sum() + 1))
-        odds[(one + zero) < 1.5] = 0
+        bad, good = (w * post).sum() + 1e-9, (w * (1 - post)).sum() + 1e-9
+        odds = np.log(one / bad + SMOOTH / (bad + good)) - np.log(zero / good + SMOOTH / (bad + good))
+        odds[np.bincount(d.flat, minlength=_SIZE) < 2] = 0
         seen = d.odds(odds)
         new = 1 / (1 + np.exp(-np.clip(seen + base, -40, 40)))
         plain = ~(sure | d.decided(seen + base > 0)[d.owner])
@@ -208,10 +214,16 @@ def fit(pages: DataFrame, key: str, text: str, failed: DataFrame, others: DataFr
     for page, i, s in zip(lines.page.tolist(), lines.numbers.tolist(), states.tolist()):
         if not s:
             main[page].append(pages_[page][i])
-    prior = np.array([SIGNED_PRIOR if signed(m) else FAILED_PRIOR if r["__bad"] else OTHER_PRIOR for m, r in zip(main, rows)])
+    trusted, bad = np.array([signed(m) for m in main], bool), np.array([r["__bad"] for r in rows], bool)
     # Of those without any sign the plain sample stands for all others.
-    weight = np.where(prior != OTHER_PRIOR, 1.0, np.where([r["__plain"] for r in rows], share / plain, 0.0))
-    return PageModel(model, train(Words(lines, states), prior, weight))
+    weight = np.where(trusted | bad, 1.0, np.where(np.array([r["__plain"] for r in rows], bool), share / plain, 0.0))
+    words, other = Words(lines, states), ~trusted & ~bad & (weight > 0)
+    belief = FAILED_PRIOR
+    while True:
+        odds = train(words, np.where(trusted, SIGNED_PRIOR, np.where(bad, belief, OTHER_PRIOR)), weight)
+        if belief <= OTHER_PRIOR or not other.any() or decide(words, odds)[other].mean() <= MOST_POSITIVE:
+            return PageModel(model, odds)
+        belief = max(belief / 2, OTHER_PRIOR)
 
 
 def _read(batches, text: str, judged: str | None, keep: list[str], lines: bool, model):
