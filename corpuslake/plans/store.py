@@ -91,7 +91,7 @@ def latency_stats(spark, d):
     """Least, greatest, mean and median of each type; the median comes from
     refined histograms, so no type's values are gathered."""
     t = table(spark, d, "events").select("event_type", F.round(F.col("value") * 1_000_000).cast("long").alias("v"))
-    q = key_quantiles(t, "event_type", "v", [lambda n: F.floor((n + 1) / 2), lambda n: F.floor(n / 2) + 1])
+    q = key_quantiles(t, "event_type", "v", [lambda n: F.floor((n + 1) / 2), lambda n: F.floor(n / 2) + 1], bins=2048)
     r = lambda c: F.round(c / 1e6, 6)
     return q.select(F.col("key").alias("event_type"), r(F.col("low")).alias("least"), r(F.col("high")).alias("most"), r(F.col("total") / F.col("n")).alias("mean"), r((F.col("q")[0] + F.col("q")[1]) / 2).alias("median"))
 
