@@ -39,8 +39,11 @@ def numbered(df: DataFrame, order: list[str | Column], name: str, partitions: in
     One range shuffle: partitions are sorted and written with the place of
     each row, and a partition's rows go after those of the partitions before.
     No single partition holds the table; only one count for each partition is
-    broadcast. The order must be total, or equal rows are numbered in any order.
+    broadcast. The order must be total, or equal rows are numbered in any
+    order. A column called name must not exist. An empty table stays empty.
     """
+    if name in df.columns:
+        raise ValueError(f"{name} exists")
     keys = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
     ranged = df.repartitionByRange(*([partitions] if partitions else []), *keys).sortWithinPartitions(*keys)
     # Partition number in the upper bits, place within it in the lower 33.
@@ -56,7 +59,9 @@ def ranked(df: DataFrame, keys: list[str], order: list[str | Column], name: str)
     """df with the row number (from 1) within each key, in the given order:
     its global number after its key's first. A hot key lies in many range
     partitions, so no task holds it; the key's first number is met salted.
-    Null keys are keys of their own."""
+    Null keys are keys of their own. A column called name must not exist."""
+    if name in df.columns:
+        raise ValueError(f"{name} exists")
     rows = numbered(df, [*keys, *order], "__no")
     first = rows.groupBy(*keys).agg(F.min("__no").alias("__first"))
     names = [f"__k{i}" for i in range(len(keys))]
@@ -70,7 +75,11 @@ def ranked(df: DataFrame, keys: list[str], order: list[str | Column], name: str)
 
 def listed(df: DataFrame, keys: list[str], order: list[str | Column], value: Column, size: int, name: str) -> DataFrame:
     """keys, part (from 0), name: the values of each key as arrays of at most
-    `size`, in order. A hot key gives many arrays, never one."""
+    `size`, in order. A hot key gives many arrays, never one. Null keys are keys
+    of their own, null values stay in their place; no key may be called part
+    or name."""
+    if {"part", name} & set(keys):
+        raise ValueError(f"a key is called part or {name}")
     rows = ranked(df.withColumn("__v", value), keys, order, "__n").select(*keys, "__n", "__v", F.floor((F.col("__n") - 1) / size).cast("int").alias("part"))
     got = rows.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct("__n", F.col("__v").alias("v")))).alias("__l"))
     return got.select(*keys, "part", F.transform("__l", lambda x: x["v"]).alias(name))

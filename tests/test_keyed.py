@@ -35,6 +35,9 @@ def test_numbers_are_global_and_within_keys(spark):
     assert {r.part: r.n for r in ranked(df, ["k"], ["v", "part"], "n").collect()} == want
     down = {r.part: r.n for r in ranked(df, ["k"], [F.col("v").desc(), F.col("part").desc()], "n").collect()}
     assert all(down[i] == place[k] + 1 - want[i] for k, _, i in rows)
+    for taken in (lambda: numbered(df, ["k"], "v"), lambda: ranked(df, ["k"], ["v"], "part"), lambda: listed(df.withColumnRenamed("part", "p").withColumnRenamed("k", "part"), ["part"], ["v"], F.col("v"), 5, "l")):
+        with pytest.raises(ValueError):
+            taken()
     assert numbered(df.limit(0), ["k"], "no").count() == ranked(df.limit(0), ["k"], ["v"], "n").count() == 0
 
 
@@ -46,6 +49,9 @@ def test_lists_are_short_and_whole(spark):
         mine = sorted((r.part, r["items"]) for r in got if r.k == k)
         assert [x for _, items in mine for x in items] == sorted(r[2] for r in rows if r[0] == k)
         assert [p for p, _ in mine] == list(range(len(mine)))
+    odd = spark.createDataFrame([(None, 2, None), (None, 1, "a"), ("x", 1, None)], "k string, o int, v string")
+    assert {(r.k, r.part): list(r["items"]) for r in listed(odd, ["k"], ["o"], F.col("v"), 9, "items").collect()} == {(None, 0): ["a", None], ("x", 0): [None]}
+    assert listed(df.limit(0), ["k"], ["part"], F.col("part"), 9, "items").count() == 0
 
 
 def test_quantiles_of_hot_null_and_rare_keys(spark):
