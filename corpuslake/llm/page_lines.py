@@ -155,7 +155,7 @@ def page_labels(lines: list[str], repeated: set[str] | frozenset[str] = frozense
 
 # Marks of machine template fields.
 FIELD = re.compile(r"\{\{[^{}\n]{1,60}\}\}|\{%[^\n]{1,60}?%\}|<%[^\n]{1,60}?%>|[$#]\{[^{}\n]{1,60}\}|%%[\w.]{1,40}?%%|@@[\w.]{1,40}?@@|\[\[[\w. ]{1,40}\]\]|\[%[^\n]{1,60}?%\]|__[A-Za-z][\w.]{0,40}?__")
-_FIELD_SIGN = re.compile(r"[{<%@\[]|__")
+FIELD_SIGN = re.compile(r"[{<%@\[]|__")
 
 #: Places of the hashed words, then the shapes.
 WORD_BITS = 15
@@ -263,7 +263,7 @@ class Lines:
                 line = raw.replace("\xa0", " ").strip()
                 if not line:
                     continue
-                if _FIELD_SIGN.search(line):
+                if FIELD_SIGN.search(line):
                     line = FIELD.sub(" <field> ", line).strip()
                 own = _short_shapes(line) if len(line) < 160 else _shapes(line)
                 shapes += own

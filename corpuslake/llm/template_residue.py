@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import re
 import warnings
-from functools import partial
+from functools import partial, reduce
+from operator import or_
 from typing import NamedTuple
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import main_content
-from .page_lines import _ENDS, _IS_FIELD, _OPENS, FIELD, RESIDUE_BITS, Lines, page_labels, residue_place
+from .page_lines import _ENDS, _IS_FIELD, _OPENS, FIELD, FIELD_SIGN, RESIDUE_BITS, Lines, page_labels, residue_place
 from .sample import in_share, slices
 
 #: Pages of the training sample, about: those looked at for a trusted sign,
@@ -62,14 +63,26 @@ _PASSAGES = np.array([residue_place(f"<of{i}>") for i in range(40)])
 SENTENCE, TITLE, FURNITURE, COUNT = range(4)
 
 
+#: What a text must have for WORDING to be worth a try: one of these words, or
+#: a passage that begins with three digits.
+STEMS = (
+    "placeholder", "type your text", "sample text", "replace this with", "coming soon", "todo", "add content for", "default page for",
+    "nothing has been", "under construction", "script", "checking your", "verify you", "error ", "http ",
+)
+_DIGITS = re.compile(r"(?:^|\n|[.!?:]\s|\()\s*\d{3} [a-z]")
+
+
 def signed(lines: list[str]) -> bool:
     """Whether the main lines of a training record carry a trusted sign: three
     machine fields, six filler words, or a trusted wording in half of its
     passages."""
-    if sum(len(FIELD.findall(x)) for x in lines) >= 3:
+    if sum(len(FIELD.findall(x)) for x in lines if FIELD_SIGN.search(x)) >= 3:
         return True
-    if sum(w.strip(".,").lower() in _LATIN for x in lines for w in x.split()) >= 6:
+    low = "\n".join(lines).lower()
+    if sum(x in low for x in _LATIN) >= 3 and sum(w.strip(".,") in _LATIN for w in low.split()) >= 6:
         return True
+    if not any(x in low for x in STEMS) and not _DIGITS.search(low):
+        return False
     own = [s for x in lines for s in _CUT.split(x.strip()) if s.strip()]
     return 2 * sum(bool(WORDING.search(s)) for s in own) >= len(own) > 0
 
@@ -195,7 +208,8 @@ def fit(pages: DataFrame, key: str, text: str, failed: DataFrame, others: DataFr
     line_share = min(1.0, main_content.MOST_PAGES / (n + more))
     bad = failed.where(F.col(key).isNotNull() & in_share(F.col(key), share)).select(key).distinct().withColumn("__bad", F.lit(True))
     rows = pages.where(F.col(key).isNotNull() & in_share(F.col(key), share)).where(F.length(text).between(1, main_content.LONGEST)).select(key, text)
-    hint = F.col(text).rlike(r"\{\{|\{%|<%|[$#]\{|%%\w|@@\w|\[[\[%]|__[A-Za-z]|(?i)lorem|ipsum|" + WORDING.pattern.replace("^", r"(?m)^\s*"))
+    low = F.lower(text)
+    hint = reduce(or_, [low.contains(x) for x in (*STEMS, "lorem", "ipsum")]) | F.col(text).rlike(r"\{\{|\{%|<%|[$#]\{|%%\w|@@\w|\[[\[%]|__[A-Za-z]") | F.col(text).rlike(r"(?m)^\s*\d{3} [A-Za-z]")
     rows = rows.join(bad, key, "left").where(hint | F.col("__bad") | in_share(F.col(key), plain))
     rows = rows.select(key, text, F.coalesce("__bad", F.lit(False)).alias("__bad"), in_share(F.col(key), plain).alias("__plain"), in_share(F.col(key), line_share).alias("__line"))
     rows = sorted(rows.collect())
