@@ -17,27 +17,30 @@ def file_stream(spark: SparkSession, path: str, schema, pattern: str = "*", per_
     return r.format(kind).load(path)
 
 
-def run_available(df: DataFrame, each, mode: str = "append") -> None:
+def run_available(df: DataFrame, each, mode: str = "append", ledger: str | None = None) -> None:
     """Process what there is in micro-batches and stop. each(batch, number)
-    must give the same result if a batch is repeated after a failure."""
-    place = shared_path(df.sparkSession, "stream")
+    must give the same result if a batch is repeated after a failure. With a
+    ledger (a folder kept between runs) only what came since is processed."""
+    place = ledger or shared_path(df.sparkSession, "stream")
     df.writeStream.outputMode(mode).option("checkpointLocation", place).trigger(availableNow=True).foreachBatch(each).start().awaitTermination()
 
 
-def fold_latest(stream: DataFrame, key: str, order: Column, carry: list[str]) -> DataFrame:
-    """Latest row and number of rows of each key after all micro-batches.
+def fold_latest(stream: DataFrame, key: str, order: Column, carry: list[str], place: str | None = None) -> DataFrame:
+    """Latest row and number of rows of each key after all micro-batches; with
+    a place, of all runs so far that named it.
 
     Each batch writes its own partial fold under its number (a repeat writes
     the same files again); reading folds the partials, so no table is ever
     rewritten and state doesn't grow in memory."""
     spark = stream.sparkSession
-    out = shared_path(spark, "fold")
+    place = place or shared_path(spark, "fold")
+    out = f"{place}/parts"
 
     def each(batch: DataFrame, number: int) -> None:
         part = batch.groupBy(key).agg(F.max(F.struct(order.alias("o"), *carry)).alias("last"), F.count("*").alias("n"))
         part.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    run_available(stream, each)
+    run_available(stream, each, ledger=f"{place}/ledger")
     return spark.read.parquet(out).groupBy(key).agg(F.max("last").alias("last"), F.sum("n").alias("n")).select(key, "last.*", "n").drop("o")
 
 
