@@ -2,7 +2,6 @@ import hashlib
 import json
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from corpuslake.functions import text as X, url as U
