@@ -10,7 +10,6 @@ exactly on the word shingles.
 from __future__ import annotations
 
 from functools import lru_cache, partial
-from itertools import chain
 from math import comb
 
 import numpy as np
