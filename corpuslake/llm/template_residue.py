@@ -190,7 +190,9 @@ def _line_sample(df: DataFrame, key: str, text: str, share: float) -> list[list[
     return [r[1].split("\n") for r in sorted(some.select(key, text).collect())]
 
 
-def fit(pages: DataFrame, key: str, text: str, failed: DataFrame, others: DataFrame | None = None) -> PageModel:
+def fit(
+    pages: DataFrame, key: str, text: str, failed: DataFrame, others: DataFrame | None = None, labelled: list[tuple[list[str], list[int]]] | None = None
+) -> PageModel:
     """Train on bounded samples, by the hash of the key, the same on every run.
 
     The line model: about main_content.MOST_PAGES of pages and others (key,
@@ -201,6 +203,8 @@ def fit(pages: DataFrame, key: str, text: str, failed: DataFrame, others: DataFr
     train nothing, so the sample is bounded in bytes too; all are scored.
 
     failed: the keys that some status calls failed (repeats don't matter).
+    labelled: pages as lines with a state each, labelled by hand, to train the
+    line model on in place of the sample.
     """
     n = max(pages.where(F.col(key).isNotNull()).count(), 1)
     more = others.where(F.col(key).isNotNull()).count() if others is not None else 0
@@ -215,12 +219,14 @@ def fit(pages: DataFrame, key: str, text: str, failed: DataFrame, others: DataFr
     rows = sorted(rows.collect())
 
     pages_ = [r[1].split("\n") for r in rows]
-    sample = [p for p, r in zip(pages_, rows) if r["__line"]]
-    if others is not None:
-        sample += _line_sample(others, key, text, line_share)
-    marked = [p for p, r in zip(pages_, rows) if not r["__line"] and signed([x for x, s in zip(p, page_labels(p)) if s == 0])]
-    sample += marked[: main_content.MOST_PAGES // 2]
-    model = main_content.fit_pages(sample)
+    if labelled:
+        model = main_content.fit_pages([p for p, _ in labelled], [y for _, y in labelled])
+    else:
+        sample = [p for p, r in zip(pages_, rows) if r["__line"]]
+        if others is not None:
+            sample += _line_sample(others, key, text, line_share)
+        marked = [p for p, r in zip(pages_, rows) if not r["__line"] and signed([x for x, s in zip(p, page_labels(p)) if s == 0])]
+        model = main_content.fit_pages(sample + marked[: main_content.MOST_PAGES // 2])
 
     lines = Lines(pages_)
     states = main_content.viterbi(lines, *model)

@@ -183,6 +183,9 @@ def test_main_content(spark):
     assert not {k for k, _ in got} & {"n", "e", "b"}
     assert template_residue.furniture_lines(df.limit(0), "text", model, F.lit(True), "key").count() == 0
     # Labels by hand go before those by wordings.
+    hand = [([x for x, _ in p], [y if x else -1 for x, y in p]) for p in pages[:200]]
+    model = template_residue.fit(df, "key", "text", df.limit(0).select("key"), labelled=hand)
+    assert {(r.key, r.line_no) for r in template_residue.furniture_lines(df.where("key like '%7'"), "text", model, F.lit(False), "key").collect()} == held(want)
     lines = [[x for x, _ in p] for p in pages[:200]]
     model = main_content.fit_pages(lines, [[y if x else -1 for x, y in p] for p in pages[:200]])
     d = page_lines.Lines([[x for x, _ in pages[203]]])
