@@ -115,20 +115,21 @@ def row_groups(spark: SparkSession, path: str, column: str) -> DataFrame:
     are left out."""
 
     def read(batches):
-        import io
+        import re
 
         import pyarrow as pa
         import pyarrow.parquet as pq
+        from pyarrow import fs
 
         schema = pa.schema([("path", pa.string()), ("row_group", pa.int32()), ("rows", pa.int64()), ("bytes", pa.int64()), ("low", pa.string()), ("high", pa.string())])
         for b in batches:
-            for name, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                out = []
+            for name in b.column(0).to_pylist():
                 try:
-                    meta = pq.read_metadata(io.BytesIO(content) if content is not None else name.removeprefix("file:"))
+                    system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
+                    meta = pq.read_metadata(place, filesystem=system)
                 except (OSError, pa.ArrowInvalid):
                     continue
-                at = meta.schema.names.index(column)
+                at, out = meta.schema.names.index(column), []
                 for i in range(meta.num_row_groups):
                     g = meta.row_group(i)
                     s = g.column(at).statistics
@@ -137,9 +138,7 @@ def row_groups(spark: SparkSession, path: str, column: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    # A local file's footer is read in place; elsewhere the file is fetched.
-    content = F.when(~F.col("path").startswith("file:"), F.col("content"))
-    return found.select("path", content.alias("content")).mapInArrow(read, "path string, row_group int, rows long, bytes long, low string, high string")
+    return found.select("path").mapInArrow(read, "path string, row_group int, rows long, bytes long, low string, high string")  # contents are not read
 
 
 class _Page(HTMLParser):

@@ -169,3 +169,11 @@ def test_sinks(spark, tmp_path):
     sinks.manifest(spark, {"n": 3}, str(tmp_path / "m.json"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == spark.read.parquet(str(tmp_path / "k")).count() == spark.read.json(str(tmp_path / "j")).count() == 3
     assert json.loads((tmp_path / "m.json").read_text()) == {"n": 3}
+
+
+def test_row_groups_of_whole_and_broken_files(spark, tmp_path):
+    spark.range(1000).repartition(2).write.parquet(str(tmp_path / "t"))
+    (tmp_path / "t" / "broken.parquet").write_bytes(b"PAR1 cut off")
+    got = readers.row_groups(spark, str(tmp_path / "t"), "id").collect()
+    assert sum(r.rows for r in got) == 1000 and len({r.path for r in got}) == 2
+    assert min(int(r.low) for r in got) == 0 and max(int(r.high) for r in got) == 999 and {r.row_group for r in got} == {0}
