@@ -5,6 +5,8 @@ import random
 
 from corpuslake.plans import catalog
 
+from .oracle import both
+
 
 def made(spark, folder, name, rows, schema):
     spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
@@ -34,3 +36,15 @@ def test_hits_beyond_4000_characters(spark, tmp_path):
 def test_every_real_line_is_parsed(spark, tmp_path):
     folder = made(spark, tmp_path, "events", [(i, f'{{"k": {i * 2}}}') for i in range(1, 15)] + [(21, "no json")], "event_id long, props string")
     assert sorted(map(tuple, catalog.QUERIES["jsonl_lenient_every"](spark, folder).collect())) == [(i, i * 2) for i in range(1, 15)]
+
+
+def test_names_of_repeated_keys_and_of_many_rows(spark, tmp_path, monkeypatch):
+    """Rows are paired as in the SQL: a key's rows with other keys, each by its
+    own name; the rows of one name in many blocks and tasks."""
+    monkeypatch.setattr("corpuslake.plans.inventory.BLOCK", 4)
+    monkeypatch.setattr("corpuslake.plans.inventory.PAIRS", 100)
+    rows = [(1, "red bolt", "b"), (1, "red bolt", "b"), (1, "hot cap", "b"), (2, "Bolt, red", "b"), (3, "cap", "b"), (None, "cap", "b"), (4, "cap", None)] + [(10 + i, "big nut", "c") for i in range(60)]
+    folder = made(spark, tmp_path, "part", rows, "p_partkey long, p_name string, p_brand string")
+    got, want = both(spark, catalog.QUERIES["names_match"], catalog.SQL["names_match"], folder)
+    assert got == want and len(want) == 2 + 1 + 60 * 59 // 2
+    assert catalog.QUERIES["names_match"](spark, folder).rdd.getNumPartitions() >= 18  # no task lists all
