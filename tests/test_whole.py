@@ -48,3 +48,14 @@ def test_names_of_repeated_keys_and_of_many_rows(spark, tmp_path, monkeypatch):
     got, want = both(spark, catalog.QUERIES["names_match"], catalog.SQL["names_match"], folder)
     assert got == want and len(want) == 2 + 1 + 60 * 59 // 2
     assert catalog.QUERIES["names_match"](spark, folder).rdd.getNumPartitions() >= 18  # no task lists all
+
+
+def test_rows_of_different_names_meet_in_blocks(spark, tmp_path, monkeypatch):
+    """Names with a third to all of their words in common, of more rows than a
+    block has, with keys of several rows: the SQL's rows, each as often."""
+    monkeypatch.setattr("corpuslake.plans.inventory.BLOCK", 3)
+    rng = random.Random(4)
+    rows = [(rng.randrange(60), rng.choice(["red bolt", "bolt of red", "red hot bolt", "red", "big bolt nut", "", "the"]), f"b{rng.randrange(2)}") for _ in range(120)]
+    folder = made(spark, tmp_path, "part", rows, "p_partkey long, p_name string, p_brand string")
+    got, want = both(spark, catalog.QUERIES["names_similar_brand"], catalog.SQL["names_similar_brand"], folder)
+    assert got == want and len(want) > len(set(want)) and len({s for *_, s in want}) > 3
