@@ -1,4 +1,5 @@
 import itertools
+import json
 import os
 import random
 import re
@@ -277,6 +278,33 @@ def test_a_null_source_and_an_unranked_one_are_alike(spark):
     assert {x.grp: x.id for x in best_record.choose(df, r, {"good": 1}, "id", "t", together=False).collect()} == {1: 1, 2: 4}
 
 
+def test_best_rows_need_no_estimates(spark, tmp_path, monkeypatch):
+    """The order of trust, recency and id decides p6_found: no stage estimates
+    what can't change it. Only p6_truth follows the sources' agreement."""
+    from corpuslake.llm import queries
+    from tests.oracle import both
+
+    made = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    made("source_trust", [("court", 1), ("agency", 2), ("mirror", 2)], "source_kind string, trust_rank int")
+    kinds = {"f1": " Court", "f2": "agency", "f3": "mirror", "f4": "odd", "f5": None}
+    made("source_record", [(f, k) for f, k in kinds.items()], "source_file string, source_kind string")
+    rows, rng = [], random.Random(7)
+    for g in range(40):  # the court is alone against all others
+        for f in rng.sample(sorted(kinds), rng.randrange(2, 6)):
+            got = {"identifier": f"A-{g}", "name": "other" if f == "f1" else "same", "retrieved_at": f"2024-01-0{rng.randrange(1, 4)}T00:00:00"}
+            rows.append((len(rows), "OR", f, json.dumps({k: v for k, v in got.items() if k != "retrieved_at" or rng.random() < 0.8})))
+    made("candidate_row", rows, "candidate_id long, state string, source_file string, row_json string")
+    truth = {r.group_id: r.candidate_id for r in queries.p6_truth(spark, str(tmp_path)).collect()}
+
+    def estimated(*_):
+        raise AssertionError("p6_found estimates reliabilities")
+
+    monkeypatch.setattr(queries, "source_reliability", estimated)
+    got, want = both(spark, queries.p6_found, queries.SQL["p6_found"], str(tmp_path))
+    assert got == want and len(got) == 40
+    assert any(truth[g] != c for c, _, g in got)
+
+
 # -- 8: encoding ------------------------------------------------------------
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t\r\x1c\x85\xa0'sé漢🙂<|endoftext|>")), max_size=80))
