@@ -58,7 +58,8 @@ def numbered(df: DataFrame, order: list[str | Column], name: str, partitions: in
 def ranked(df: DataFrame, keys: list[str], order: list[str | Column], name: str) -> DataFrame:
     """df with the row number (from 1) within each key, in the given order:
     its global number after its key's first. A hot key lies in many range
-    partitions, so no task holds it; the key's first number is met salted.
+    partitions, so no task holds it; the key's first number is met salted, by
+    shuffle: many keys are small compressed, but not as the driver's broadcast.
     Null keys are keys of their own. A column called name must not exist."""
     if name in df.columns:
         raise ValueError(f"{name} exists")
@@ -70,7 +71,7 @@ def ranked(df: DataFrame, keys: list[str], order: list[str | Column], name: str)
     same = F.col("__salt") == F.col("__salt2")
     for k, n in zip(keys, names):
         same = same & F.col(k).eqNullSafe(F.col(n))
-    return rows.join(first, same).withColumn(name, F.col("__no") - F.col("__first") + 1).drop(*names, "__no", "__first", "__salt", "__salt2")
+    return rows.join(first.hint("merge"), same).withColumn(name, F.col("__no") - F.col("__first") + 1).drop(*names, "__no", "__first", "__salt", "__salt2")
 
 
 def listed(df: DataFrame, keys: list[str], order: list[str | Column], value: Column, size: int, name: str) -> DataFrame:

@@ -66,6 +66,8 @@ HOT = 1000
 BLOCK = 256
 #: Pairs that a task lists, about.
 PAIRS = 16_000_000
+#: Names with a word in common that a task compares, about.
+COMPARED = 2_000_000
 
 
 def similar_sets(names: DataFrame, least: float) -> DataFrame:
@@ -77,21 +79,26 @@ def similar_sets(names: DataFrame, least: float) -> DataFrame:
     Candidates share a word that is among the rarest of both (so many that the
     share can't be reached without them), or that is the rarest word of one;
     they are verified exactly, at the rarest word in common. Words of many
-    names are spread over several tasks.
+    names are spread over several tasks, of about `COMPARED` candidates. No
+    side is broadcast, however small it is when compressed.
     """
     p = names.select("scope", "name", F.explode(F.split("name", " ")).alias("w"))
     many = p.groupBy("scope", "w").agg(F.count("*").alias("n"))
-    t = p.join(many, ["scope", "w"]).groupBy("scope", "name").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("t"))
+    t = p.join(many.hint("merge"), ["scope", "w"]).groupBy("scope", "name").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("t"))
     size = F.size("t")
     rare = size - F.ceil(size * least - 1e-9) + 1
     w = t.select("scope", "name", F.col("t.w").alias("t"), rare.alias("rare"), F.posexplode("t").alias("pos", "x"))
     w = w.select("scope", "name", "t", "pos", (F.col("pos") < F.col("rare")).alias("rare"), "x.w", F.ceil(F.col("x.n") / HOT).cast("int").alias("salts"))
-    a = w.withColumn("salt", F.pmod(F.xxhash64("name"), F.col("salts")).cast("int")).alias("a")
-    b = w.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("b")
+    total = many.agg(F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2)).first()[0] or 0
+    parts = max(names.sparkSession.sparkContext.defaultParallelism, math.ceil(total / COMPARED))
+    a = w.withColumn("salt", F.pmod(F.xxhash64("name"), F.col("salts")).cast("int")).repartition(parts, "scope", "w", "salt").alias("a")
+    b = w.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).repartition(parts, "scope", "w", "salt").alias("b")
     same = (F.col("a.scope") == F.col("b.scope")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.name") < F.col("b.name"))
     near = (F.col("a.rare") & F.col("b.rare")) | (F.col("a.pos") == 0) | (F.col("b.pos") == 0)
-    s, both = X.jaccard(F.col("a.t"), F.col("b.t")), F.array_intersect("a.t", "b.t")
-    j = a.join(b, same).where(near).where(F.col("a.w") == both[0]).where((s >= least) | (F.size(both) == F.least(F.size("a.t"), F.size("b.t"))))
+    both, size_a, size_b = F.array_intersect("a.t", "b.t"), F.size("a.t"), F.size("b.t")
+    s = F.size(both) / (size_a + size_b - F.size(both))
+    # The side that is dealt out by salts is the one that the join keeps in memory.
+    j = b.join(a.hint("merge"), same).where(near).where(F.col("a.w") == both[0]).where((s >= least) | (F.size(both) == F.least(size_a, size_b)))
     return j.select("a.scope", F.col("a.name").alias("a"), F.col("b.name").alias("b"), F.round(s, 6).alias("similarity"))
 
 
@@ -102,20 +109,21 @@ def similar_names(names: DataFrame, key: str, scope: str, name: str, least: floa
 
     Names of the same words are compared once, and their rows only met as
     pairs of blocks of keys, in tasks of about `PAIRS` pairs: no pair is
-    shuffled. Null and empty names are in no pair, nor are rows of one key.
+    shuffled, and no side of a join is sent to the driver. Null and empty names
+    are in no pair, nor are rows of one key.
     """
     words = F.array_join(X.name_tokens(F.col(name)), " ")
     rows = names.select(F.col(key).alias("key"), F.col(scope).alias("scope"), words.alias("name")).where("key is not null and scope is not null and name <> ''")
     lists = write_shared(listed(rows, ["scope", "name"], ["key"], F.col("key"), BLOCK, "keys"), "names")
     sets = lists.groupBy("scope", "name").agg(F.max("part").alias("last"), F.sum(F.size("keys")).alias("n"))
-    last = lambda c: sets.select("scope", F.col("name").alias(c), F.col("last").alias(f"last_{c}"), F.col("n").alias(f"n_{c}"))
+    last = lambda c: sets.select("scope", F.col("name").alias(c), F.col("last").alias(f"last_{c}"), F.col("n").alias(f"n_{c}")).hint("merge")
     pairs = similar_sets(sets.select("scope", "name"), least).unionByName(sets.where("n > 1").select("scope", F.col("name").alias("a"), F.col("name").alias("b"), F.lit(1.0).alias("similarity")))
     pairs = write_shared(pairs.join(last("a"), ["scope", "a"]).join(last("b"), ["scope", "b"]), "names-pairs")
     total = pairs.agg(F.sum(F.col("n_a").cast("double") * F.col("n_b") / F.when(F.col("a") == F.col("b"), 2).otherwise(1)).alias("n")).first().n or 0
     one = F.col("a") == F.col("b")
     cells = pairs.select("*", F.explode(F.sequence(F.lit(0), "last_a")).alias("i"))
     cells = cells.select("scope", "a", "b", "i", one.alias("one"), "similarity", F.explode(F.sequence(F.when(one, F.col("i")).otherwise(0), "last_b")).alias("j"))
-    of = lambda c, part, keys: lists.select("scope", F.col("name").alias(c), F.col("part").alias(part), F.col("keys").alias(keys))
+    of = lambda c, part, keys: lists.select("scope", F.col("name").alias(c), F.col("part").alias(part), F.col("keys").alias(keys)).hint("merge")
     cells = cells.join(of("a", "i", "x"), ["scope", "a", "i"]).join(of("b", "j", "y"), ["scope", "b", "j"])
     cells = cells.repartition(max(names.sparkSession.sparkContext.defaultParallelism, math.ceil(total / PAIRS)), "scope", "a", "i", "b", "j")
     # Keys of a block and blocks of a name are in order: of two equal blocks each pair of places is taken once.

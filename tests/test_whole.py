@@ -3,7 +3,8 @@
 import itertools
 import random
 
-from corpuslake.plans import catalog
+from corpuslake.operators.keyed import ranked
+from corpuslake.plans import catalog, inventory
 
 from .oracle import both
 
@@ -59,3 +60,16 @@ def test_rows_of_different_names_meet_in_blocks(spark, tmp_path, monkeypatch):
     folder = made(spark, tmp_path, "part", rows, "p_partkey long, p_name string, p_brand string")
     got, want = both(spark, catalog.QUERIES["names_similar_brand"], catalog.SQL["names_similar_brand"], folder)
     assert got == want and len(want) > len(set(want)) and len({s for *_, s in want}) > 3
+
+
+def test_no_names_are_sent_to_the_driver(spark, tmp_path, monkeypatch):
+    """Many names are small compressed, so Spark would broadcast them through
+    the driver: only one row for each partition may be."""
+    monkeypatch.setattr("corpuslake.plans.inventory.COMPARED", 50, raising=False)
+    sent = lambda df: (df.collect(), df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0].count("BroadcastHashJoin"))[1]
+    names = [(i, f"red bolt x{i % 20}", "b") for i in range(60)]
+    folder = made(spark, tmp_path, "part", names, "p_partkey long, p_name string, p_brand string")
+    assert sent(catalog.QUERIES["names_similar_brand"](spark, folder)) == 0
+    sets = inventory.similar_sets(spark.createDataFrame([("b", f"bolt red x{i}") for i in range(20)], "scope string, name string"), 0.4)
+    assert sent(sets) == 0 and sets.count() == 190
+    assert sent(ranked(spark.createDataFrame([(i % 7, i) for i in range(70)], "k long, v long"), ["k"], ["v"], "n")) == 2  # the rows of the partitions before, for rows and firsts
