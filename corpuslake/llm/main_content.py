@@ -74,7 +74,7 @@ def train(pages: list[list[str]], labels: list[list[int]], epochs: int = 14, bat
         return w, t
     mix = np.random.default_rng(5).permutation(len(data))
     parts = [[data[i] for i in mix[a : a + batch]] for a in range(0, len(data), batch)]
-    parts = [(Lines([p for p, _ in part]), np.array([s for _, y in part for s in y])) for part in parts]
+    parts = [(Lines([p for p, _ in part]).features_only(), np.array([s for _, y in part for s in y])) for part in parts]
     mw, vw, mt, vt = np.zeros_like(w), np.zeros_like(w), np.zeros_like(t), np.zeros_like(t)
     step, steps = 0, epochs * len(parts)
     for _ in range(epochs):

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import warnings
+from collections.abc import Iterable, Iterator
 from functools import partial, reduce
 from operator import or_
 from typing import NamedTuple
@@ -27,6 +28,9 @@ from .sample import in_share, slices
 #: Pages of the training sample, about: those looked at for a trusted sign,
 #: and those of them taken as unlabelled.
 MOST_PAGES, MOST_UNLABELLED = 20_000, 4_000
+#: Training pages that are read at a time, so that what is kept of each is its
+#: passages, and not the features of its lines.
+AT_A_TIME = 200
 #: Chance before any word that a passage is positive: of a record with a
 #: trusted sign, of one that a status calls failed, of any other.
 SIGNED_PRIOR, FAILED_PRIOR, OTHER_PRIOR = 0.9, 0.5, 0.02
@@ -87,19 +91,49 @@ def signed(lines: list[str]) -> bool:
     return 2 * sum(bool(WORDING.search(s)) for s in own) >= len(own) > 0
 
 
+class _Part(NamedTuple):
+    """Passages of some records: places of words with their passages, bits of
+    the number of passages with the own passages, then what each passage has;
+    records that have fields, and how many."""
+
+    records: int
+    count: int
+    flat: np.ndarray
+    at: np.ndarray
+    bits: np.ndarray
+    own: np.ndarray
+    owner: np.ndarray
+    size: np.ndarray
+    kind: np.ndarray
+    has: np.ndarray
+    fields: np.ndarray
+
+
 class Words:
     """Passages of several records, flat: sentences of their lines, cut where
     a word ends with a stop or colon or begins with a bracket.
 
     How many fields a record has is a passage of its own; of how many passages
     it is (in powers of two) is a word of each that is no furniture.
+
+    Several parts' passages are joined as if their records had been one part.
     """
 
     def __init__(self, d: Lines, states: np.ndarray):
-        self.records = d.pages
+        self._join([self._part(d, states)])
+
+    @classmethod
+    def of(cls, parts: Iterable[tuple[Lines, np.ndarray]]) -> Words:
+        """The same of parts that are made one by one, none kept."""
+        self = cls.__new__(cls)
+        self._join([cls._part(*x) for x in parts])
+        return self
+
+    @staticmethod
+    def _part(d: Lines, states: np.ndarray) -> _Part:
         if not d.count:
-            self.count, self.flat, self.at, self.owner, self.size, self.kind = 0, *(np.zeros(0, np.int64) for _ in range(5))
-            return
+            none = np.zeros(0, np.int64)
+            return _Part(d.pages, 0, none, none, none, none, none, none, none, none, none)
         new = np.ones(len(d.tokens), bool)
         new[1:] = (d.token_line[1:] != d.token_line[:-1]) | ((d.tokens[:-1] & _ENDS) > 0) | ((d.tokens[1:] & _OPENS) > 0)
         passage = np.cumsum(new) - 1
@@ -117,12 +151,20 @@ class Words:
         bits = np.frexp(many[owner[own]].astype(float))[1]
         fields = np.bincount(d.page[d.token_line], (d.tokens & _IS_FIELD) > 0, d.pages).astype(np.int64)
         has = np.flatnonzero(fields)
+        return _Part(d.pages, n, flat, at, bits, own, owner, size, kind, has, fields[has])
+
+    def _join(self, parts: list[_Part]) -> None:
+        n, self.records = sum(x.count for x in parts), sum(x.records for x in parts)
+        first = np.cumsum([0, *(x.count for x in parts)])  # of each part's passages and records
+        page = np.cumsum([0, *(x.records for x in parts)])
+        whole = lambda xs: np.concatenate([np.zeros(0, np.int64), *xs])
+        has = whole(x.has + p for x, p in zip(parts, page))
         self.count = n + len(has)
-        self.flat = np.concatenate((flat, _PASSAGES[bits], _FIELDS[np.minimum(fields[has], 3)]))
-        self.at = np.concatenate((at, own, n + np.arange(len(has))))
-        self.owner = np.concatenate((owner, has))
-        self.size = np.concatenate((size, np.zeros(len(has))))
-        self.kind = np.concatenate((kind, np.full(len(has), COUNT)))
+        self.flat = whole([*(x.flat for x in parts), *(_PASSAGES[x.bits] for x in parts), *(_FIELDS[np.minimum(x.fields, 3)] for x in parts)])
+        self.at = whole([*(x.at + a for x, a in zip(parts, first)), *(x.own + a for x, a in zip(parts, first)), n + np.arange(len(has))])
+        self.owner = whole([*(x.owner + p for x, p in zip(parts, page)), has])
+        self.size = whole([*(x.size for x in parts), np.zeros(len(has))])
+        self.kind = whole([*(x.kind for x in parts), np.full(len(has), COUNT)])
 
     def odds(self, weights: np.ndarray) -> np.ndarray:
         """Log odds of each passage that it is positive; of furniture, that
@@ -228,16 +270,25 @@ def fit(
         marked = [p for p, r in zip(pages_, rows) if not r["__line"] and signed([x for x, s in zip(p, page_labels(p)) if s == 0])]
         model = main_content.fit_pages(sample + marked[: main_content.MOST_PAGES // 2])
 
-    lines = Lines(pages_)
-    states = main_content.viterbi(lines, *model)
-    main: list[list[str]] = [[] for _ in pages_]
-    for page, i, s in zip(lines.page.tolist(), lines.numbers.tolist(), states.tolist()):
-        if not s:
-            main[page].append(pages_[page][i])
-    trusted, bad = np.array([signed(m) for m in main], bool), np.array([r["__bad"] for r in rows], bool)
+    trusted_: list[bool] = []
+
+    def read() -> Iterator[tuple[Lines, np.ndarray]]:
+        for a in range(0, len(pages_), AT_A_TIME):
+            some = pages_[a : a + AT_A_TIME]
+            lines = Lines(some)
+            states = main_content.viterbi(lines, *model)
+            main: list[list[str]] = [[] for _ in some]
+            for page, i, s in zip(lines.page.tolist(), lines.numbers.tolist(), states.tolist()):
+                if not s:
+                    main[page].append(some[page][i])
+            trusted_.extend(signed(m) for m in main)
+            yield lines, states
+
+    words = Words.of(read())
+    trusted, bad = np.array(trusted_, bool), np.array([r["__bad"] for r in rows], bool)
     # Of those without any sign the plain sample stands for all others.
     weight = np.where(trusted | bad, 1.0, np.where(np.array([r["__plain"] for r in rows], bool), share / plain, 0.0))
-    words, other = Words(lines, states), ~trusted & ~bad & (weight > 0)
+    other = ~trusted & ~bad & (weight > 0)
     belief = FAILED_PRIOR
     while True:
         odds = train(words, np.where(trusted, SIGNED_PRIOR, np.where(bad, belief, OTHER_PRIOR)), weight)

@@ -126,6 +126,22 @@ def test_hosts(spark):
 
 
 # -- 3: template residue ----------------------------------------------------
+def test_training_reads_few_pages_at_a_time(spark, monkeypatch):
+    """What the driver keeps of its sample is passages, not the features of all
+    lines; the model is the same, bit by bit, however many are read at a time."""
+    rows = [(f"k{i}", "\n".join(random.Random(i).choices(["Home | News | Contact", "The fee is due {{date}}: see (Rule 4).", "Error 404", "", "Hours are posted. Call first.", "Lorem ipsum"], k=i % 7)) or None) for i in range(60)]
+    df = spark.createDataFrame(rows, "key string, text string")
+    failed, models, most = df.where("key like '%4'").select("key"), [], []
+    for n in (7, 1000):
+        read, real = [], page_lines.Lines
+        monkeypatch.setattr(template_residue, "AT_A_TIME", n, raising=False)
+        monkeypatch.setattr(template_residue, "Lines", lambda pages, read=read, real=real: (read.append(len(pages)), real(pages))[1])
+        models.append(template_residue.fit(df, "key", "text", failed))
+        most.append(max(read))
+    assert most[0] <= 7 < most[1]
+    assert models[0].odds.any() and (models[0].odds == models[1].odds).all() and (models[0].lines[0] == models[1].lines[0]).all()
+
+
 def test_residue_on_held_out_pages(spark):
     rng = random.Random(3)
     say = lambda: f"The {rng.choice(WORDS)} board shall {rng.choice(['file', 'post', 'amend'])} the {rng.choice(WORDS)} permit within {rng.randrange(90)} days of notice and keep a copy of the record."
